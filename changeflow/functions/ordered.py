@@ -2,10 +2,11 @@
 
 The methods of `KeyOrder` are the window functions lag, lead, max and
 last_value(ignore nulls) over a key.  A plain window puts all rows of one key
-into one task.  Here one aggregate counts the rows per key first; when no key is larger than the limit, the result is exactly
-that plain window.  A larger key is cut into consecutive parts of its own
-sequence, the window runs per (key, part), and one small row per part carries
-the value over the cut.  No row is dropped and the result is the same.
+into one task.  Here one aggregate counts the rows per key first; when no key is
+larger than the limit, the result is exactly that plain window.  A larger key is
+cut into consecutive parts of its own sequence, the window runs per (key, part),
+and one small row per part carries the value over the cut.  No row is dropped
+and the result is the same.
 
 The limit is `changeflow.hotKeyRows` of the session.  The number of cuts is
 bounded whatever the data size, because the limit rises to total / MAX_PARTS.
@@ -17,19 +18,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 HOT_KEY_ROWS_CONF = "changeflow.hotKeyRows"
 HOT_KEY_ROWS = 5_000_000
 MAX_PARTS = 10_000
+POINTS_PER_PART = 50
 
 _HASH, _PART, _EDGE = "__key_hash", "__part", "__edge"
-_CUT_TYPES = (
-    T.NumericType,
-    T.DateType,
-    T.TimestampType,
-    T.TimestampNTZType,
-)
 
 
 class KeyOrder:
@@ -136,46 +131,32 @@ def _key_hash(keys: Sequence[str]) -> Column:
 
 def _hot_key_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
     """(key hash, sorted cut points) of the keys above the limit, or None without such keys."""
-    limit = hot_key_rows(df)
     counts = df.groupBy(_key_hash(keys).alias(_HASH)).agg(F.count("*").alias("n"))
     top = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
-    if top is None or top["largest"] is None or top["largest"] <= limit:
+    if top["largest"] is None:
         return None
-    limit = max(limit, -(-top["total"] // MAX_PARTS))
+    limit = max(hot_key_rows(df), -(-top["total"] // MAX_PARTS))
     if top["largest"] <= limit:
         return None
 
-    cut_on = order[0]
-    if not isinstance(df.schema[cut_on].dataType, _CUT_TYPES):
-        raise TypeError(
-            f"a key has {top['largest']} rows and its first sequence column {cut_on} is no number "
-            "or time; put such a column first, or raise " + HOT_KEY_ROWS_CONF
-        )
-    most = -(-top["largest"] // limit)
-    steps = [i / most for i in range(1, most)]
-    # The hot keys are fewer than MAX_PARTS by the choice of the limit.
-    hot = counts.where(F.col("n") > limit).withColumn("parts", F.ceil(F.col("n") / limit))
-    points = (
-        df.select(_key_hash(keys).alias(_HASH), F.col(cut_on).alias("at"))
+    # A cut point is a place in the sequence, found among rows picked by hash: every
+    # `gap`-th pick ends a part of about `limit` rows.  Picks place the cuts only; all
+    # rows go on.  A key has at most POINTS_PER_PART * MAX_PARTS picks.
+    gap = min(POINTS_PER_PART, limit)
+    hot = counts.where(F.col("n") > limit).select(_HASH)  # fewer than MAX_PARTS keys
+    place = F.struct(*order)
+    picked = (
+        df.select(_key_hash(keys).alias(_HASH), place.alias("at"))
+        .where(F.pmod(F.xxhash64(_HASH, "at"), F.lit(limit // gap)) == 0)
         .join(F.broadcast(hot), _HASH)
-        .groupBy(_HASH, "parts")
-        .agg(F.percentile_approx("at", steps, max(10_000, 10 * most)).alias("points"))
-        .select(
-            _HASH,
-            F.array_sort(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), F.col("parts").cast("int") - 1),
-                        lambda i: F.element_at(
-                            "points", F.greatest(F.lit(1), F.floor(i * most / F.col("parts"))).cast("int")
-                        ),
-                    )
-                )
-            ).alias("cuts"),
-        )
+        .withColumn("nth", F.row_number().over(Window.partitionBy(_HASH).orderBy("at")))
     )
-    # Fixing the cut points as a small local table (at most 2 * MAX_PARTS points)
-    # makes every later use of them agree, also after a lost task.
+    points = (
+        picked.where(F.col("nth") % gap == 0)
+        .groupBy(_HASH)
+        .agg(F.array_sort(F.collect_list("at")).alias("cuts"))
+    )
+    # As a small local table the cuts agree in every later use, also after a lost task.
     return df.sparkSession.createDataFrame(points.collect(), points.schema)
 
 
@@ -183,13 +164,13 @@ def _with_part(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame
 ) -> DataFrame:
     """Add the part number: 0 for ordinary keys, 1.. along the sequence of a cut key."""
-    value = F.col(order[0])
-    # Binary search of the number of cuts <= value; 2^14 exceeds MAX_PARTS.
+    place = F.struct(*order)
+    # Binary search of the number of cuts <= place; 2^15 exceeds the number of cuts.
     halves = F.array(*[F.lit(1 << i) for i in range(14, -1, -1)])
     below = F.aggregate(
         halves,
         F.lit(0),
-        lambda found, half: F.when(F.get("cuts", found + half - 1) <= value, found + half).otherwise(found),
+        lambda found, half: F.when(F.get("cuts", found + half - 1) <= place, found + half).otherwise(found),
     )
     return (
         df.withColumn(_HASH, _key_hash(keys))
