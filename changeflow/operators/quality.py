@@ -119,10 +119,11 @@ def drift_impact(events: DataFrame, spec: Scd2, suspects: Sequence[str], version
     """
     slim = events.select(
         *dict.fromkeys([*spec.keys, *spec.sequence, *spec.track, version, *suspects]),
-        F.coalesce(spec.deletes, F.lit(False)).alias("gone"),
+        spec.gone().alias("gone"),
     )
     order = KeyOrder(slim, spec.keys, spec.sequence)
-    seen = order.with_previous(slim, [*spec.track, *suspects, "gone"], "before")
+    compared = list(dict.fromkeys([*spec.track, *suspects, "gone"]))
+    seen = order.with_previous(slim, compared, "before")
     quiet = (
         F.col("before").isNotNull()
         & ~F.col("before.gone")

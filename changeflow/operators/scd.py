@@ -21,16 +21,21 @@ class Scd2:
     keys      columns that identify an entity
     sequence  columns that order its events, compared one after the other
     track     attributes whose change makes a version
-    deletes   condition of a delete event
+    deletes   condition of a delete event, as a column or as SQL text
     carry     further columns a version takes from the event that opened it
     """
 
     keys: Sequence[str]
     sequence: Sequence[str]
     track: Sequence[str]
-    deletes: Column
+    deletes: Column | str
     carry: Sequence[str] = ()
 
+    def gone(self) -> Column:
+        """True for a delete event; a NULL condition is none."""
+        condition = F.expr(self.deletes) if isinstance(self.deletes, str) else self.deletes
+        return F.coalesce(condition, F.lit(False))
+
     def track_all_except(self, columns: Sequence[str], excluded: Sequence[str]) -> Scd2:
         """The same with every column tracked but the keys and the excluded ones."""
         track = [c for c in columns if c not in (*self.keys, *excluded)]
@@ -59,8 +64,9 @@ def suppress_unchanged(
     tied sequence has no defined order: the job fails, unless ties are allowed.
     """
     order = order or KeyOrder(events, spec.keys, spec.sequence)
-    marked = events.withColumn("gone", F.coalesce(spec.deletes, F.lit(False)))
-    seen = order.with_previous(marked, [*spec.track, *spec.sequence, "gone"], "before")
+    marked = events.withColumn("gone", spec.gone())
+    compared = list(dict.fromkeys([*spec.track, *spec.sequence, "gone"]))
+    seen = order.with_previous(marked, compared, "before")
     none_before = F.col("before").isNull() | F.col("before.gone")
     unchanged = all_same([(F.col(c), F.col(f"before.{c}")) for c in spec.track])
     repeats = F.when(F.col("gone"), none_before).otherwise(~none_before & unchanged)
@@ -102,10 +108,8 @@ def apply_changes_scd2(events: DataFrame, spec: Scd2, on_ties: str = "raise") ->
     needed = [*spec.keys, *spec.sequence, *spec.track, *spec.carry]
     require_columns(events, needed, "event table")
     # Prune before the shuffle; the delete condition may use any column, so it comes along as one flag.
-    slim = events.select(
-        *dict.fromkeys(needed), F.coalesce(spec.deletes, F.lit(False)).alias("__deleted")
-    )
-    slim_spec = Scd2(spec.keys, spec.sequence, spec.track, F.col("__deleted"), spec.carry)
+    slim = events.select(*dict.fromkeys(needed), spec.gone().alias("__deleted"))
+    slim_spec = Scd2(spec.keys, spec.sequence, spec.track, "__deleted", spec.carry)
     order = KeyOrder(slim, spec.keys, spec.sequence)
     kept = suppress_unchanged(slim, slim_spec, order, on_ties)
     ranged = close_intervals(kept, spec.keys, spec.sequence, order)
@@ -125,7 +129,7 @@ def scd2_step(dim: DataFrame, batch: DataFrame, spec: Scd2) -> DataFrame:
     `duplicate_current` shows.  `apply_changes_scd2` has no such condition.
     """
     keys, at = list(spec.keys), spec.sequence[0]
-    incoming = batch.withColumn("gone", F.coalesce(spec.deletes, F.lit(False)))
+    incoming = batch.withColumn("gone", spec.gone())
     alive, dead = incoming.where(~F.col("gone")), incoming.where("gone")
     # One closing time per key: the earliest change, and the latest delete.
     changing = match_current(alive, dim, keys, spec.track, "inner")
@@ -168,8 +172,12 @@ def match_current(
 
 
 def anti_new_keys(incoming: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key the dimension has never seen."""
-    return incoming.join(dim.select(*keys), list(keys), "left_anti")
+    """Incoming rows whose key the dimension has never seen.
+
+    The known keys are made distinct before the join, so a key with very many
+    versions is one row there.
+    """
+    return incoming.join(dim.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def duplicate_current(dim: DataFrame, keys: Sequence[str], is_open: Column) -> DataFrame:

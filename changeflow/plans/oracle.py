@@ -440,7 +440,7 @@ ORACLE_SQL: dict[str, str] = {
                  "pre.score IS DISTINCT FROM post.score OR pre.note IS DISTINCT FROM post.note)"),
         snapshot("pre", f"{v(40)} - 1"), snapshot("post", v(45))),
     "replay_check": sql("""
-        SELECT *, 'left' AS only_in, CAST(1 AS BIGINT) AS copies, 'backward' AS delivery
+        SELECT *, CAST(1 AS BIGINT) AS forward, CAST(1 AS BIGINT) AS backward, CAST(1 AS BIGINT) AS again
         FROM state_rows WHERE FALSE"""),
     "replayed_state": sql("SELECT * FROM live"),
     "backfill_drift": sql("""

@@ -46,7 +46,7 @@ def raw_spec(*track: str) -> scd.Scd2:
         keys=KEYS,
         sequence=["updated_at", "_commit_version"],
         track=list(track) or ["segment", "tier"],
-        deletes=F.col("operation") == "DELETE",
+        deletes="operation = 'DELETE'",
     )
 
 
@@ -602,9 +602,14 @@ def gap_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.gap_window(derived.commits(spark, sf_dir))
 
 
+def read_stored_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a table, for operators that read it several times."""
+    return spark.read.parquet(stored_feed(spark, derived.user_feed(spark, sf_dir), "feed"))
+
+
 @query
 def gap_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed, commits = derived.user_feed(spark, sf_dir), derived.commits(spark, sf_dir)
+    feed, commits = read_stored_feed(spark, sf_dir), derived.commits(spark, sf_dir)
     gap = ledger.gap_window(commits)
     pre = state.snapshot_as_of(feed, at(spark, sf_dir, 40) - 1, KEYS)
     post = state.snapshot_as_of(feed, at(spark, sf_dir, 45), KEYS)
@@ -617,13 +622,13 @@ def quarters(spark: SparkSession, sf_dir: str) -> list[int]:
 
 @query
 def replay_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = derived.user_feed(spark, sf_dir)
+    feed = read_stored_feed(spark, sf_dir)
     return recovery.replay_check(feed, KEYS, quarters(spark, sf_dir))
 
 
 @query
 def replayed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = derived.user_feed(spark, sf_dir)
+    feed = read_stored_feed(spark, sf_dir)
     return recovery.replayed_state(feed, KEYS, quarters(spark, sf_dir))
 
 

@@ -16,15 +16,24 @@ from changeflow.operators.security import tag_columns
 
 REMOVE_EVENT = "error"
 
+_LATEST: dict[tuple[str, str], int] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _latest_event(spark: SparkSession, sf_dir: str) -> int:
+    """The greatest event id; the tables never change, so it is read once per session."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _LATEST:
+        _LATEST[known] = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    return _LATEST[known]
+
+
 def version_at(spark: SparkSession, sf_dir: str, percent: int) -> int:
     """The version that lies at a percentage of the whole version range."""
-    top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    return (top + 1) * percent // 100
+    return (_latest_event(spark, sf_dir) + 1) * percent // 100
 
 
 def _with_last_event(events: DataFrame, columns: list[str]) -> DataFrame:

@@ -15,14 +15,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own.
     """
-    folder = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get(_CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="changeflow-")
-    spark.conf.set(_CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="changeflow-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
