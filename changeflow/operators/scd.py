@@ -55,29 +55,37 @@ def _suffix(column: str) -> str:
     return "VERSION" if column == "_commit_version" else column.strip("_").upper()
 
 
-def suppress_unchanged(
+def mark_unchanged(
     events: DataFrame, spec: Scd2, order: KeyOrder | None = None, on_ties: str = "raise"
 ) -> DataFrame:
-    """Drop events that repeat the event just before on all tracked columns.
+    """Add `gone` for a delete, and `unchanged` for an event that makes no version.
 
-    A delete after a delete, or with nothing before it, repeats too.  A NULL or
-    tied sequence has no defined order: the job fails, unless ties are allowed.
+    An event makes none if it repeats the event just before on all tracked columns.
+    A delete after a delete, or with nothing before it, repeats too.  A NULL or tied
+    sequence has no defined order: the job fails, unless ties are allowed.
     """
     order = order or KeyOrder(events, spec.keys, spec.sequence)
     marked = events.withColumn("gone", spec.gone())
     compared = list(dict.fromkeys([*spec.track, *spec.sequence, "gone"]))
     seen = order.with_previous(marked, compared, "before")
     none_before = F.col("before").isNull() | F.col("before.gone")
-    unchanged = all_same([(F.col(c), F.col(f"before.{c}")) for c in spec.track])
-    repeats = F.when(F.col("gone"), none_before).otherwise(~none_before & unchanged)
+    repeats_values = all_same([(F.col(c), F.col(f"before.{c}")) for c in spec.track])
+    unchanged = F.when(F.col("gone"), none_before).otherwise(~none_before & repeats_values)
 
     bad = any_null(spec.sequence)
     if on_ties == "raise":
-        tied = F.col("before").isNotNull() & all_same([(F.col(c), F.col(f"before.{c}")) for c in spec.sequence])
-        bad = bad | tied
+        tied = all_same([(F.col(c), F.col(f"before.{c}")) for c in spec.sequence])
+        bad = bad | (F.col("before").isNotNull() & tied)
     text = f"the sequence {list(spec.sequence)} is NULL or tied; add a column that breaks the tie"
-    checked = F.when(bad, F.raise_error(F.lit(text)).cast("boolean")).otherwise(repeats)
-    return seen.where(~checked).drop("before")
+    checked = F.when(bad, F.raise_error(F.lit(text)).cast("boolean")).otherwise(unchanged)
+    return seen.withColumn("unchanged", checked).drop("before")
+
+
+def suppress_unchanged(
+    events: DataFrame, spec: Scd2, order: KeyOrder | None = None, on_ties: str = "raise"
+) -> DataFrame:
+    """The events that make or end a version, with their `gone` mark."""
+    return mark_unchanged(events, spec, order, on_ties).where(~F.col("unchanged")).drop("unchanged")
 
 
 def any_null(columns: Sequence[str]) -> Column:

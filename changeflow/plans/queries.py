@@ -21,7 +21,7 @@ from changeflow.plans.batch import run_batch
 from changeflow.sources import commits as ledger
 from changeflow.sources import derived, feed as reading
 from changeflow.sources.storage import new_folder
-from changeflow.streaming import consumers
+from changeflow.streaming import consumers, dimension
 from changeflow.streaming.sinks import Job, read_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,13 +54,20 @@ def at(spark: SparkSession, sf_dir: str, percent: int) -> int:
     return derived.version_at(spark, sf_dir, percent)
 
 
-def stored_feed(
-    spark: SparkSession, df: DataFrame, name: str, files: int = 4, newest_first: bool = False
-) -> str:
+def feed_files(spark: SparkSession) -> int:
+    """Files of a stored feed: as many as the session has shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def part_of_files(spark: SparkSession, batches: int) -> int:
+    """Files per micro-batch, so that a stored feed comes in about so many batches."""
+    return -(-feed_files(spark) // batches)
+
+
+def stored_feed(spark: SparkSession, df: DataFrame, name: str) -> str:
     """Write a table as a folder of files in version order, as a feed lands."""
     path = new_folder(spark, name)
-    order = F.col("_commit_version").desc() if newest_first else F.col("_commit_version")
-    df.repartitionByRange(files, order).write.parquet(path)
+    df.repartitionByRange(feed_files(spark), "_commit_version").write.parquet(path)
     return path
 
 
@@ -156,7 +163,9 @@ def publish_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = derived.user_feed(spark, sf_dir)
-    stream = reading.stream_changes(spark, stored_feed(spark, feed, "feed"), feed.schema, 1, 2)
+    stream = reading.stream_changes(
+        spark, stored_feed(spark, feed, "feed"), feed.schema, 1, part_of_files(spark, 2)
+    )
     return consumers.run_feed_stream(stream, new_job(spark, "feed-stream"), ["user_id", "segment"])
 
 
@@ -588,7 +597,7 @@ def rebaseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recover_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, half = derived.user_feed(spark, sf_dir), at(spark, sf_dir, 50)
     path, job = new_folder(spark, "feed"), new_job(spark, "recover")
-    reading.changes_between(feed, 0, half).repartitionByRange(2, "_commit_version").write.parquet(path)
+    reading.changes_between(feed, 0, half).write.parquet(path)
     columns = ["user_id", *VALUES]
     first = reading.stream_changes(spark, path, feed.schema, 1)
     consumers.append_available(first, job, columns)
@@ -692,7 +701,7 @@ def available_now_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_apply_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = derived.user_feed(spark, sf_dir)
     path, job = stored_feed(spark, feed, "feed"), new_job(spark, "scd1")
-    stream = reading.stream_changes(spark, path, feed.schema, 1, 1)
+    stream = reading.stream_changes(spark, path, feed.schema, 1, part_of_files(spark, 4))
     consumers.stream_apply_scd1(stream, job, KEYS)
     return consumers.read_live(spark, job.sink, KEYS)
 
@@ -712,17 +721,17 @@ def late_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_apply_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = derived.raw_cdc(spark, sf_dir)
-    path, job = stored_feed(spark, raw, "raw", files=2), new_job(spark, "scd2")
-    stream = reading.stream_table(spark, path, raw.schema, 1)
-    consumers.stream_apply_scd2(stream, job, raw_spec(), buckets=8)
-    return consumers.read_dim2(spark, job.sink, KEYS)
+    path, job = stored_feed(spark, raw, "raw"), new_job(spark, "scd2")
+    stream = reading.stream_table(spark, path, raw.schema, part_of_files(spark, 2))
+    dimension.stream_apply_scd2(stream, job, raw_spec(), buckets=8)
+    return dimension.read_dim2(spark, job.sink, raw.schema, raw_spec())
 
 
 @query
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = derived.user_feed(spark, sf_dir)
-    path, job = stored_feed(spark, feed, "feed", files=2), new_job(spark, "history")
-    stream = reading.stream_changes(spark, path, feed.schema, 0, 1)
+    path, job = stored_feed(spark, feed, "feed"), new_job(spark, "history")
+    stream = reading.stream_changes(spark, path, feed.schema, 0, part_of_files(spark, 2))
     known = ("known_user", F.col("user_id").isNotNull())
     consumers.stream_history(stream, job, known, ntz("2024-02-01 00:00:00"))
     return read_batches(spark, job.sink, widen=True)
@@ -732,7 +741,7 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = decimal_feed(spark, sf_dir)
     path, job = stored_feed(spark, feed, "feed"), new_job(spark, "metrics")
-    stream = reading.stream_changes(spark, path, feed.schema, 0, 1)
+    stream = reading.stream_changes(spark, path, feed.schema, 0, part_of_files(spark, 4))
     consumers.stream_metrics(stream, job, ["segment"], {"score_sum": "score"})
     metrics = consumers.read_metrics(spark, job.sink, ["segment"])
     return metrics.withColumn("score_sum", F.col("score_sum").cast("double"))

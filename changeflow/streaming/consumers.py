@@ -1,4 +1,4 @@
-"""Feed consumers: append, history, current state, dimensions, metrics, fan-out, recovery."""
+"""Feed consumers: append, history, current state, metrics, fan-out, recovery."""
 
 from __future__ import annotations
 
@@ -18,14 +18,9 @@ from changeflow.operators.changes import (
 )
 from changeflow.operators.history import history_rows
 from changeflow.operators.quality import expect_or_drop
-from changeflow.operators.scd import Scd2, affected_keys, apply_changes_scd2
 from changeflow.operators.state import current_snapshot, fold_feed, fold_states
 from changeflow.sources.feed import stream_changes
-from changeflow.streaming.sinks import BATCH, RUN, Job, batch_stamp, read_batches, run_available
-
-HISTORY, DIMENSION = "history", "dimension"
-KEY_BUCKET = "key_bucket"
-KEY_BUCKETS = 256
+from changeflow.streaming.sinks import Job, read_batches, run_available
 
 
 def run_feed_stream(stream: DataFrame, job: Job, columns: Sequence[str]) -> DataFrame:
@@ -111,52 +106,6 @@ def compact_state(spark: SparkSession, sink: str, keys: Sequence[str], job: Job)
     read_state(spark, sink, keys).write.mode("overwrite").parquet(job.folder(0))
 
 
-def _key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def stream_apply_scd2(
-    stream: DataFrame, job: Job, spec: Scd2, buckets: int = KEY_BUCKETS, on_ties: str = "raise"
-) -> None:
-    """A Type 2 dimension kept by a stream, right for late rows too.
-
-    Late rows can split versions that the dimension has already forgotten the events
-    of.  So the events are kept, and each batch rebuilds the dimension of the keys it
-    touches from all their events.  The kept events are partitioned by a key bucket;
-    only buckets of the batch are read.  `read_dim2` takes each key from its last rebuild.
-    """
-    identity = [*spec.keys, *spec.sequence]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        events = batch.withColumn(KEY_BUCKET, _key_bucket(spec.keys, buckets))
-        folder = job.folder(batch_id, HISTORY)
-        spread = events.hint("rebalance", KEY_BUCKET)
-        spread.write.mode("overwrite").partitionBy(KEY_BUCKET).parquet(folder)
-
-        written = spark.read.schema(events.schema).parquet(folder)
-        # At most `buckets` numbers.
-        touched = [r[0] for r in written.select(KEY_BUCKET).distinct().collect()]
-        if not touched:
-            return
-        stored = read_batches(spark, f"{job.sink}/{HISTORY}", schema=events.schema)
-        stored = stored.where(F.col(KEY_BUCKET).isin(*touched))
-        # A recovery delivers events again; the key and its sequence identify them.
-        events = affected_keys(stored, written, spec.keys).dropDuplicates(identity)
-        dim = apply_changes_scd2(events, spec, on_ties)
-        dim.write.mode("overwrite").parquet(job.folder(batch_id, DIMENSION))
-
-    run_available(stream, job, write)
-
-
-def read_dim2(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
-    """The dimension of a `stream_apply_scd2` sink: each key as of its last rebuild."""
-    rows = read_batches(spark, f"{sink}/{DIMENSION}", keep=[RUN, BATCH])
-    rows = rows.withColumn("stamp", batch_stamp()).drop(RUN, BATCH)
-    newest = rows.groupBy(*keys).agg(F.max("stamp").alias("stamp"))
-    return rows.join(newest, [*keys, "stamp"]).drop("stamp")
-
-
 def stream_metrics(
     stream: DataFrame, job: Job, group: Sequence[str], measures: Mapping[str, str]
 ) -> None:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 RUN, BATCH = "run", "batch_id"
 
@@ -83,10 +83,18 @@ def read_batches(
     """
     reader = spark.read.option("mergeSchema", str(widen).lower())
     if schema is not None:
-        reader = reader.schema(StructType(schema.fields).add(RUN, IntegerType()).add(BATCH, LongType()))
+        stamp = [StructField(RUN, IntegerType()), StructField(BATCH, LongType())]
+        reader = reader.schema(StructType([*schema.fields, *stamp]))
     return reader.parquet(path).drop(*[c for c in (RUN, BATCH) if c not in keep])
 
 
+_BATCHES_PER_RUN = 1 << 40
+
+
+def stamp_of(generation: int, batch_id: int) -> int:
+    return generation * _BATCHES_PER_RUN + batch_id
+
+
 def batch_stamp() -> Column:
     """A number that rises with run and batch."""
-    return F.col(RUN).cast("bigint") * (1 << 40) + F.col(BATCH).cast("bigint")
+    return F.col(RUN).cast("bigint") * _BATCHES_PER_RUN + F.col(BATCH).cast("bigint")

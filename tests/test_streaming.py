@@ -8,7 +8,7 @@ from changeflow.operators import changes, scd, state
 from changeflow.sources import feed as reading
 from changeflow.sources.samples import seed_cdc, seed_feed
 from changeflow.sources.storage import new_folder
-from changeflow.streaming import consumers, sinks
+from changeflow.streaming import consumers, dimension, sinks
 
 KEYS = ["customer_id"]
 SPEC = scd.Scd2(KEYS, ["updated_at", "_commit_version"], ["segment"], "operation = 'DELETE'")
@@ -122,11 +122,11 @@ def test_scd2_stream_in_any_order_equals_the_batch(spark, job, seed):
     random.Random(seed).shuffle(versions)
     for part in (versions[:3], versions[3:7], versions[7:]):
         land(raw.where(F.col("_commit_version").isin(*part)), path)
-        consumers.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), job, SPEC, buckets=4)
-    assert equal(consumers.read_dim2(spark, job.sink, KEYS), scd.apply_changes_scd2(raw, SPEC))
+        dimension.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), job, SPEC, buckets=4)
+    assert equal(dimension.read_dim2(spark, job.sink, raw.schema, SPEC), scd.apply_changes_scd2(raw, SPEC))
     again = job.recovered()
-    consumers.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), again, SPEC, buckets=4)
-    assert equal(consumers.read_dim2(spark, job.sink, KEYS), scd.apply_changes_scd2(raw, SPEC))
+    dimension.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), again, SPEC, buckets=4)
+    assert equal(dimension.read_dim2(spark, job.sink, raw.schema, SPEC), scd.apply_changes_scd2(raw, SPEC))
 
 
 def test_metrics_stream_equals_the_live_table(spark, job):
