@@ -24,20 +24,22 @@ HOT_KEY_ROWS = 5_000_000
 MAX_PARTS = 10_000
 POINTS_PER_PART = 50
 
-_HASH, _PART, _EDGE = "__key_hash", "__part", "__edge"
+_HASH, _HOT, _PART, _EDGE = "__key_hash", "__hot", "__part", "__edge"
 
 
 class KeyOrder:
     """The event order of the keys of a frame, with its hot keys counted once.
 
     The methods take that frame or any later frame whose rows are some of its
-    rows, so that several steps share one count.
+    rows, so that several steps share one count.  If keys are cut, the part stays
+    in the frame as a column, so that later steps find the rows where they are;
+    `finish` takes it away.
     """
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
         self.keys = list(keys)
         self.order = list(order)
-        self.cuts = _hot_key_cuts(df, self.keys, self.order)
+        self.cuts, self.steps = _hot_key_cuts(df, self.keys, self.order)
 
     def with_previous(self, df: DataFrame, columns: Sequence[str], into: str) -> DataFrame:
         """Add `into`: the struct of `columns` on the row just before, NULL on the first row."""
@@ -55,18 +57,24 @@ class KeyOrder:
         """Add `into`: the latest non-null `value` up to and including this row."""
         return self._carry(df, value, into, "last")
 
+    def finish(self, df: DataFrame) -> DataFrame:
+        return df.drop(_HOT, _PART)
+
     def _carry(self, df: DataFrame, value: Column, into: str, kind: str) -> DataFrame:
         keys, order = self.keys, self.order
         if self.cuts is None:
             return df.withColumn(into, _over(value, kind, _window(keys, order)))
 
-        parted = _with_part(df, keys, order, self.cuts)
-        by_part = [*keys, _PART]
+        parted = df
+        if _PART not in df.columns:
+            parted = _with_part(df, keys, order, self.cuts, self.steps)
+        # The mark belongs to the window keys so that the filter on it passes the window.
+        by_part = [*keys, _HOT, _PART]
         local = parted.withColumn(into, _over(value, kind, _window(by_part, order)))
         # One row per part of a cut key: at most 2 * MAX_PARTS rows, hence the broadcast.
         edges = (
-            parted.where(F.col(_PART) > 0)
-            .groupBy(*by_part)
+            parted.where(F.col(_HOT))
+            .groupBy(*keys, _PART)
             .agg(_edge(value, order, kind).alias(_EDGE))
             .withColumn(_EDGE, _over_parts(kind, _window(keys, [_PART])))
         )
@@ -76,7 +84,7 @@ class KeyOrder:
             on = on & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
         here, carried = F.col(f"l.{into}"), F.col(f"r.{_EDGE}")
         merged = F.greatest(here, carried) if kind == "max" else F.coalesce(here, carried)
-        kept = [F.col(f"l.{c}") for c in df.columns if c != into]
+        kept = [F.col(f"l.{c}") for c in parted.columns if c != into]
         return left.join(right, on, "left").select(*kept, merged.alias(into))
 
 
@@ -129,15 +137,20 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
 
 
-def _hot_key_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
-    """(key hash, sorted cut points) of the keys above the limit, or None without such keys."""
+def _hot_key_cuts(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> tuple[DataFrame | None, int]:
+    """(key hash, sorted cut points) of the keys above the limit, or None without such keys.
+
+    With it comes the number of binary search steps that the longest list takes.
+    """
     counts = df.groupBy(_key_hash(keys).alias(_HASH)).agg(F.count("*").alias("n"))
     top = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
     if top["largest"] is None:
-        return None
+        return None, 0
     limit = max(hot_key_rows(df), -(-top["total"] // MAX_PARTS))
     if top["largest"] <= limit:
-        return None
+        return None, 0
 
     # A cut point is a place in the sequence, found among rows picked by hash: every
     # `gap`-th pick ends a part of about `limit` rows.  Picks place the cuts only; all
@@ -157,24 +170,29 @@ def _hot_key_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
         .agg(F.array_sort(F.collect_list("at")).alias("cuts"))
     )
     # As a small local table the cuts agree in every later use, also after a lost task.
-    return df.sparkSession.createDataFrame(points.collect(), points.schema)
+    rows = points.collect()
+    most = max((len(r["cuts"]) for r in rows), default=0)
+    return df.sparkSession.createDataFrame(rows, points.schema), most.bit_length()
 
 
 def _with_part(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame, steps: int
 ) -> DataFrame:
-    """Add the part number: 0 for ordinary keys, 1.. along the sequence of a cut key."""
+    """Add whether the key is cut, and the part: 0 for ordinary keys, 1.. along a cut key.
+
+    The part is one more than the number of cuts <= the row's place, found by binary
+    search with one projection per step, which stays in generated code.
+    """
     place = F.struct(*order)
-    # Binary search of the number of cuts <= place; 2^15 exceeds the number of cuts.
-    halves = F.array(*[F.lit(1 << i) for i in range(14, -1, -1)])
-    below = F.aggregate(
-        halves,
-        F.lit(0),
-        lambda found, half: F.when(F.get("cuts", found + half - 1) <= place, found + half).otherwise(found),
-    )
-    return (
+    found = (
         df.withColumn(_HASH, _key_hash(keys))
         .join(F.broadcast(cuts), _HASH, "left")
-        .withColumn(_PART, F.when(F.col("cuts").isNull(), 0).otherwise(below + 1))
-        .drop(_HASH, "cuts")
+        .withColumn(_HOT, F.col("cuts").isNotNull())
+        .withColumn(_PART, F.when(F.col(_HOT), 1).otherwise(0))
     )
+    for step in range(steps - 1, -1, -1):
+        further = F.col(_PART) + (1 << step)
+        # Cut number n (from 1) ends part n, so its index is the part to reach minus 2.
+        beyond = F.get("cuts", further - 2) <= place
+        found = found.withColumn(_PART, F.when(beyond, further).otherwise(F.col(_PART)))
+    return found.drop(_HASH, "cuts")

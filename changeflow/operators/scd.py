@@ -85,6 +85,11 @@ def suppress_unchanged(
     events: DataFrame, spec: Scd2, order: KeyOrder | None = None, on_ties: str = "raise"
 ) -> DataFrame:
     """The events that make or end a version, with their `gone` mark."""
+    order = order or KeyOrder(events, spec.keys, spec.sequence)
+    return order.finish(_kept(events, spec, order, on_ties))
+
+
+def _kept(events: DataFrame, spec: Scd2, order: KeyOrder, on_ties: str) -> DataFrame:
     return mark_unchanged(events, spec, order, on_ties).where(~F.col("unchanged")).drop("unchanged")
 
 
@@ -103,7 +108,7 @@ def close_intervals(
     following = order.with_next(events, sequence, "after")
     for column, start, end in range_columns(sequence):
         following = following.withColumn(start, F.col(column)).withColumn(end, F.col(f"after.{column}"))
-    return following.drop("after")
+    return order.finish(following).drop("after")
 
 
 def apply_changes_scd2(events: DataFrame, spec: Scd2, on_ties: str = "raise") -> DataFrame:
@@ -119,7 +124,7 @@ def apply_changes_scd2(events: DataFrame, spec: Scd2, on_ties: str = "raise") ->
     slim = events.select(*dict.fromkeys(needed), spec.gone().alias("__deleted"))
     slim_spec = Scd2(spec.keys, spec.sequence, spec.track, "__deleted", spec.carry)
     order = KeyOrder(slim, spec.keys, spec.sequence)
-    kept = suppress_unchanged(slim, slim_spec, order, on_ties)
+    kept = _kept(slim, slim_spec, order, on_ties)
     ranged = close_intervals(kept, spec.keys, spec.sequence, order)
     bounds = [c for _, start, end in range_columns(spec.sequence) for c in (start, end)]
     attributes = dict.fromkeys([*spec.track, *spec.carry])
@@ -212,9 +217,8 @@ def sequence_regressions(
 ) -> DataFrame:
     """Events whose business time lies below the running maximum in commit order."""
     order = KeyOrder(events, keys, [version])
-    return order.with_running_max(events, F.col(time), "latest_before").where(
-        F.col(time) < F.col("latest_before")
-    )
+    seen = order.finish(order.with_running_max(events, F.col(time), "latest_before"))
+    return seen.where(F.col(time) < F.col("latest_before"))
 
 
 def composite_order(events: DataFrame, sequence: Sequence[str]) -> DataFrame:

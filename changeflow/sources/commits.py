@@ -40,7 +40,8 @@ def with_feed_range(commits: DataFrame) -> DataFrame:
     order = KeyOrder(commits, ["source"], ["version"])
     flagged = order.with_previous(commits, ["feed_enabled"], "before")
     starts = F.col("before").isNull() | (F.col("before.feed_enabled") != F.col("feed_enabled"))
-    return order.with_last_known(flagged, F.when(starts, F.col("version")), "range_start").drop("before")
+    ranged = order.with_last_known(flagged, F.when(starts, F.col("version")), "range_start")
+    return order.finish(ranged).drop("before")
 
 
 def feed_enabled_ranges(commits: DataFrame) -> DataFrame:
