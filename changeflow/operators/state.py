@@ -134,7 +134,7 @@ class Dml:
     """
 
     version: int
-    timestamp: datetime
+    timestamp: datetime | Column
     inserts: DataFrame | None = None
     update_where: Column | None = None
     update_set: Mapping[str, Column] = field(default_factory=dict)
@@ -174,7 +174,7 @@ def apply_dml(table: DataFrame, dml: Dml) -> tuple[DataFrame, DataFrame]:
         *table.columns,
         CHANGE_TYPE,
         F.lit(dml.version).cast("bigint").alias(COMMIT_VERSION),
-        F.lit(dml.timestamp).alias(COMMIT_TIMESTAMP),
+        (dml.timestamp if isinstance(dml.timestamp, Column) else F.lit(dml.timestamp)).alias(COMMIT_TIMESTAMP),
     )
     return after, feed
 

@@ -7,7 +7,7 @@ at percentages of the version range, so the work grows with the tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,6 @@ QUERIES: dict[str, Query] = {}
 
 KEYS = ["user_id"]
 VALUES = ["segment", "score", "note"]
-CAPTURED = datetime(2024, 2, 1)
 
 
 def query(f: Query) -> Query:
@@ -205,7 +204,7 @@ def customer_dml(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         customer,
         state.Dml(
             version=2,
-            timestamp=CAPTURED,
+            timestamp=ntz("2024-02-01 00:00:00"),
             inserts=added,
             update_where=F.col("c_mktsegment") == "BUILDING",
             update_set={"c_acctbal": F.col("c_acctbal") + 100, "c_mktsegment": F.lit("HOUSING")},
@@ -221,8 +220,7 @@ def apply_dml_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def apply_dml_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = customer_dml(spark, sf_dir)[1]
-    return feed.withColumn("_commit_timestamp", F.col("_commit_timestamp").cast("timestamp_ntz"))
+    return customer_dml(spark, sf_dir)[1]
 
 
 @query
