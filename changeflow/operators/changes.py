@@ -61,7 +61,8 @@ def union_changes(parts: Iterable[DataFrame]) -> DataFrame:
 def pair_images(feed: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Pre-image and post-image of every update as one row of <c>_before and <c>_after.
 
-    One shuffle on (keys, version) with map-side aggregation, in place of a self join.
+    One shuffle on (keys, version) with map-side aggregation, in place of a self join:
+    copies of a redelivered commit fall together and do not multiply.
     """
     columns = list(columns) if columns is not None else data_columns(feed, keys)
     row = F.struct(*columns)

@@ -158,3 +158,23 @@ def test_aggregate_delta_keeps_a_sum_that_moves_at_count_zero(spark):
     assert parts[1].first()["rows"] == 0
     whole = changes.add_aggregates(changes.union_changes(parts), ["g"]).first()
     assert (whole["rows"], int(whole["total"])) == (2, 90)
+
+
+def test_redelivered_images_pair_once(spark):
+    rows = seed_feed(spark)
+    once = changes.pair_images(rows, ["customer_id"])
+    many = changes.pair_images(changes.union_changes([rows] * 3), ["customer_id"])
+    assert once.count() == 2 and changes.reconcile(once, many).isEmpty()
+
+
+def test_a_state_read_back_from_files_goes_on(spark):
+    """The state is written to a new folder each time and read from the last one."""
+    from changeflow.operators.history import publish_snapshot
+    from changeflow.sources.storage import new_folder
+
+    rows, held = seed_feed(spark), None
+    for v in (1, 2, 3, 4):
+        base = held if held is not None else state.empty_state(spark, rows, ["customer_id"])
+        step = state.apply_changes_scd1(base, rows.where(F.col("_commit_version") == v), ["customer_id"])
+        held = publish_snapshot(step, new_folder(spark, "state"))
+    assert changes.reconcile(held, state.fold_feed(rows, ["customer_id"])).isEmpty()
