@@ -15,7 +15,6 @@ from changeflow.contracts import (
     COMMIT_TIMESTAMP,
     COMMIT_VERSION,
     DELETE,
-    FEED_COLUMNS,
     INSERT,
     IS_DELETED,
     LAST_VERSION,
@@ -253,13 +252,3 @@ def guarded_merge(keys: Sequence[str], columns: Sequence[str]) -> Merge:
         insert_values=values,
     )
 
-
-def as_feed(state: DataFrame, kind: str, version: int, timestamp: datetime) -> DataFrame:
-    """Live rows as change rows of one type, stamped with one commit."""
-    rows = state.drop(LAST_VERSION, IS_DELETED, *FEED_COLUMNS)
-    return rows.select(
-        "*",
-        F.lit(kind).alias(CHANGE_TYPE),
-        F.lit(version).cast("bigint").alias(COMMIT_VERSION),
-        F.lit(timestamp).alias(COMMIT_TIMESTAMP),
-    )
