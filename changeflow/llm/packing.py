@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import stored, type_of
+from changeflow.llm.common import parts, stored, type_of
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -123,17 +123,6 @@ def encoder(vocabulary: str) -> Encoder:
     return _encoders[vocabulary]
 
 
-def parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of at most `size` bytes of a text column, or of one row."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def pieces(
     docs: DataFrame,
     id_col: str = "doc_id",
