@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import ann, embed_dedup, html_main, language, mixing, packing, simhash, toxicity
+from changeflow.llm import ann, chat, embed_dedup, html_main, language, licenses, mixing, packing, simhash, toxicity
 from changeflow.llm.common import held_out, table
 
 
@@ -28,6 +28,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -39,6 +43,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(table(spark, sf_dir, "pages"))
 
@@ -63,11 +71,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_language_id": op3_language_id,
+    "op4_license_scan": op4_license_scan,
     "op5_toxicity": op5_toxicity,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_html_extraction": op7_html_extraction,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.scan_sql()}
