@@ -93,20 +93,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = F.filter(F.transform(cut, lambda s: F.try_element_at(known, _normal(s))), lambda x: x.isNotNull())
     listed = docs.select(F.col(id_col).alias("doc_id"), F.array_join(found, ",").alias("sentences"))
     rest: Column = F.concat(F.lit(","), F.regexp_replace("sentences", ",", ",,"), F.lit(","))
-    # Rule after rule: (what is left, licences so far).
-    state = listed.withColumn("_rest", rest).withColumn("_found", F.array().cast("array<string>"))
-    for sequence, name in RULES:
-        wanted = "".join(f",{x}," for x in sequence)
-        state = state.withColumns(
-            {
-                "_found": F.when(
-                    F.contains("_rest", F.lit(wanted)), F.array_union("_found", F.array(F.lit(name)))
-                ).otherwise(F.col("_found")),
-                "_rest": F.replace("_rest", F.lit(wanted), F.lit("")),
-            }
+    rules = F.array(*(F.struct(F.lit(_wanted(x)).alias("wanted"), F.lit(name).alias("name")) for x, name in RULES))
+
+    def apply(state: Column, rule: Column) -> Column:
+        named = F.array_union(state["found"], F.array(rule["name"]))
+        return F.struct(
+            F.replace(state["left"], rule["wanted"], F.lit("")).alias("left"),
+            F.when(F.contains(state["left"], rule["wanted"]), named).otherwise(state["found"]).alias("found"),
         )
-    left = F.array_join(F.filter(F.split("_rest", ","), lambda x: x != ""), ",")
-    return state.select("doc_id", "sentences", F.array_join("_found", ",").alias("licenses"), left.alias("unmatched"))
+
+    start = F.struct(rest.alias("left"), F.array().cast("array<string>").alias("found"))
+    state = listed.withColumn("_state", F.aggregate(rules, start, apply))
+    left = F.array_join(F.filter(F.split("_state.left", ","), lambda x: x != ""), ",")
+    return state.select(
+        "doc_id", "sentences", F.array_join("_state.found", ",").alias("licenses"), left.alias("unmatched")
+    )
+
+
+def _wanted(sequence: tuple[str, ...]) -> str:
+    return "".join(f",{x}," for x in sequence)
 
 
 def _normal(sentence: Column) -> Column:
@@ -125,7 +130,7 @@ s0 AS (SELECT doc_id, array_to_string(list_filter(list_transform(
 r0 AS (SELECT doc_id, sentences, ',' || replace(sentences, ',', ',,') || ',' AS rest, '' AS found FROM s0)"""
     ]
     for i, (sequence, name) in enumerate(RULES):
-        wanted = "".join(f",{x}," for x in sequence)
+        wanted = _wanted(sequence)
         steps.append(
             f"""r{i + 1} AS (SELECT doc_id, sentences, replace(rest, '{wanted}', '') AS rest,
   CASE WHEN contains(rest, '{wanted}') AND NOT contains(',' || found || ',', ',{name},')
