@@ -54,9 +54,15 @@ def change_rank() -> Column:
         .when(kind == DELETE, 1)
         .when(kind == INSERT, 2)
         .when(kind == POSTIMAGE, 3)
+        .otherwise(unknown_change().cast("int"))
     )
 
 
+def unknown_change() -> Column:
+    """Fails the job: a change type that is none of the four, or none at all."""
+    return F.raise_error(F.concat(F.lit("unknown change type: "), F.coalesce(F.col(CHANGE_TYPE), F.lit("NULL"))))
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

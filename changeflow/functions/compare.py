@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, MapType
 
 
 def same(left: Column, right: Column) -> Column:
@@ -14,6 +15,11 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def orderable(value: Column, kind: DataType) -> Column:
+    """A value that can be compared: of a map its entries in key order, of anything else itself."""
+    return F.array_sort(F.map_entries(value)) if isinstance(kind, MapType) else value
+
+
 def all_same(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, (same(x, y) for x, y in pairs), F.lit(True))
 

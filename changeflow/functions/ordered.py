@@ -24,6 +24,7 @@ HOT_KEY_ROWS = 5_000_000
 MAX_PARTS = 10_000
 POINTS_PER_PART = 50
 
+_SEED = 11
 _HASH, _HOT, _PART, _EDGE = "__key_hash", "__hot", "__part", "__edge"
 
 
@@ -88,6 +89,11 @@ class KeyOrder:
         return left.join(right, on, "left").select(*kept, merged.alias(into))
 
 
+def spread_ties(*columns: str) -> Column:
+    """A number that tells tied rows apart, for a last order column where their order is of no account."""
+    return F.xxhash64(*columns) if columns else F.monotonically_increasing_id()
+
+
 def _window(keys: Sequence[str], order: Sequence[str]):
     # A key-less window is only reached below the row limit.
     by = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -152,22 +158,25 @@ def _hot_key_cuts(
     if top["largest"] <= limit:
         return None, 0
 
-    # A cut point is a place in the sequence, found among rows picked by hash: every
-    # `gap`-th pick ends a part of about `limit` rows.  Picks place the cuts only; all
-    # rows go on.  A key has at most POINTS_PER_PART * MAX_PARTS picks.
+    # A cut point is a place in the sequence, found among rows picked at random, so that a
+    # place is picked as often as it has rows: every `gap`-th pick ends a part of about
+    # `limit` rows.  Picks place the cuts only; all rows go on.  There are at most about
+    # POINTS_PER_PART * MAX_PARTS picks over all keys, and a place that ends several parts
+    # is one cut.  A place alone is never cut: an order that ties so many rows has no
+    # sequence to carry along, see `spread_ties`.
     gap = min(POINTS_PER_PART, limit)
     hot = counts.where(F.col("n") > limit).select(_HASH)  # fewer than MAX_PARTS keys
     place = F.struct(*order)
     picked = (
         df.select(_key_hash(keys).alias(_HASH), place.alias("at"))
-        .where(F.pmod(F.xxhash64(_HASH, "at"), F.lit(limit // gap)) == 0)
+        .where(F.rand(_SEED) * (limit // gap) < 1)
         .join(F.broadcast(hot), _HASH)
         .withColumn("nth", F.row_number().over(Window.partitionBy(_HASH).orderBy("at")))
     )
     points = (
         picked.where(F.col("nth") % gap == 0)
         .groupBy(_HASH)
-        .agg(F.array_sort(F.collect_list("at")).alias("cuts"))
+        .agg(F.array_sort(F.collect_set("at")).alias("cuts"))
     )
     # As a small local table the cuts agree in every later use, also after a lost task.
     rows = points.collect()

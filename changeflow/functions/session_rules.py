@@ -29,6 +29,10 @@ def install(spark: SparkSession, groups: Iterable[str] = ()) -> None:
 
 
 def sign_in(spark: SparkSession, groups: Iterable[str]) -> None:
-    """Set the groups of the session's reader."""
-    names = ", ".join("'" + g.replace("'", "''") + "'" for g in groups)
+    """Set the groups of the session's reader.
+
+    A name goes into the statement as the hexadecimal digits of its UTF-8 bytes, so nothing
+    in it can end the literal.
+    """
+    names = ", ".join(f"decode(X'{g.encode().hex()}', 'UTF-8')" for g in groups)
     spark.sql(f"SET VARIABLE {GROUPS_VARIABLE} = CAST(array({names}) AS ARRAY<STRING>)")

@@ -21,8 +21,9 @@ from changeflow.contracts import (
     change_rank,
     data_columns,
     is_change,
+    unknown_change,
 )
-from changeflow.functions.compare import any_differs, same
+from changeflow.functions.compare import any_differs, orderable, same
 
 
 def filter_change_type(feed: DataFrame, types: Sequence[str]) -> DataFrame:
@@ -31,7 +32,8 @@ def filter_change_type(feed: DataFrame, types: Sequence[str]) -> DataFrame:
 
 
 def without_preimages(feed: DataFrame) -> DataFrame:
-    return feed.where(is_change(INSERT, POSTIMAGE, DELETE))
+    """All rows but pre-images; rows of unknown type stay, so that what folds them can refuse them."""
+    return feed.where(~F.col(CHANGE_TYPE).eqNullSafe(PREIMAGE))
 
 
 def project_sink(feed: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,7 +64,8 @@ def pair_images(feed: DataFrame, keys: Sequence[str], columns: Sequence[str] | N
     """Pre-image and post-image of every update as one row of <c>_before and <c>_after.
 
     One shuffle on (keys, version) with map-side aggregation, in place of a self join:
-    copies of a redelivered commit fall together and do not multiply.
+    copies of a redelivered commit fall together and do not multiply.  Any of several
+    copies is taken as a whole, so columns need no order and may be maps.
     """
     columns = list(columns) if columns is not None else data_columns(feed, keys)
     row = F.struct(*columns)
@@ -71,8 +74,8 @@ def pair_images(feed: DataFrame, keys: Sequence[str], columns: Sequence[str] | N
         feed.where(is_change(PREIMAGE, POSTIMAGE))
         .groupBy(*keys, COMMIT_VERSION)
         .agg(
-            F.max(F.when(kind == PREIMAGE, row)).alias("pre"),
-            F.max(F.when(kind == POSTIMAGE, row)).alias("post"),
+            F.any_value(F.when(kind == PREIMAGE, row), F.lit(True)).alias("pre"),
+            F.any_value(F.when(kind == POSTIMAGE, row), F.lit(True)).alias("post"),
             F.max(COMMIT_TIMESTAMP).alias(COMMIT_TIMESTAMP),
         )
         .where(F.col("pre").isNotNull() & F.col("post").isNotNull())
@@ -88,8 +91,12 @@ def pair_images(feed: DataFrame, keys: Sequence[str], columns: Sequence[str] | N
 def changed_columns(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The names of the columns an update really changed, for partial replication."""
     columns = data_columns(feed, keys)
+
+    def value(name: str, column: str) -> Column:
+        return orderable(F.col(name), feed.schema[column].dataType)
+
     names = F.array_compact(
-        F.array(*[F.when(~same(F.col(f"{c}_before"), F.col(f"{c}_after")), F.lit(c)) for c in columns])
+        F.array(*[F.when(~same(value(f"{c}_before", c), value(f"{c}_after", c)), F.lit(c)) for c in columns])
     )
     return pair_images(feed, keys).select(*keys, COMMIT_VERSION, names.alias("changed"))
 
@@ -105,12 +112,15 @@ def tracked_updates(feed: DataFrame, keys: Sequence[str], track: Sequence[str])
         feed.where(is_change(PREIMAGE, POSTIMAGE))
         .groupBy(*keys, COMMIT_VERSION)
         .agg(
-            F.max(F.when(kind == PREIMAGE, F.struct(*track))).alias("pre"),
-            F.max(F.when(kind == POSTIMAGE, F.struct(*columns))).alias("post"),
+            F.any_value(F.when(kind == PREIMAGE, F.struct(*track)), F.lit(True)).alias("pre"),
+            F.any_value(F.when(kind == POSTIMAGE, F.struct(*columns)), F.lit(True)).alias("post"),
         )
         .where(F.col("pre").isNotNull() & F.col("post").isNotNull())
     )
-    changed = any_differs([(F.col(f"pre.{c}"), F.col(f"post.{c}")) for c in track])
+    kinds = {c: feed.schema[c].dataType for c in track}
+    changed = any_differs(
+        [tuple(orderable(F.col(f"{side}.{c}"), kinds[c]) for side in ("pre", "post")) for c in track]
+    )
     return pairs.where(changed).select(*keys, COMMIT_VERSION, "post.*").select(*feed.columns)
 
 
@@ -181,7 +191,8 @@ def dedupe_latest(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def signed(feed: DataFrame) -> DataFrame:
     """Add the sign of a change: +1 for a row that appears, -1 for one that goes."""
-    return feed.withColumn("sign", F.when(is_change(INSERT, POSTIMAGE), 1).otherwise(-1))
+    arrives, goes = is_change(INSERT, POSTIMAGE), is_change(PREIMAGE, DELETE)
+    return feed.withColumn("sign", F.when(arrives, 1).when(goes, -1).otherwise(unknown_change().cast("int")))
 
 
 def signed_aggregate(

@@ -22,9 +22,9 @@ def with_commit_date(feed: DataFrame, grain: str = "day") -> DataFrame:
     return feed.withColumn(COMMIT_DATE, day if grain == "day" else F.trunc(day, "month"))
 
 
-def history_rows(feed: DataFrame, at: Column | None = None) -> DataFrame:
+def history_rows(feed: DataFrame, at: Column | None = None, grain: str = "day") -> DataFrame:
     """Feed rows as history rows: every change type, both images, capture time and date."""
-    return with_commit_date(with_capture_time(feed, at))
+    return with_commit_date(with_capture_time(feed, at), grain)
 
 
 def write_partitioned_history(

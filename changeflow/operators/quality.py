@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from changeflow.contracts import FEED_COLUMNS
 from changeflow.functions.compare import all_same, same
@@ -58,56 +59,79 @@ def enforce_not_null(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
     return good, split.where(F.size("null_columns") > 0)
 
 
+def reject_nulls(df: DataFrame, columns: Sequence[str], report: Observation | None = None) -> DataFrame:
+    """All rows, or a failing job at the first NULL in one of the columns, as a NOT NULL sink does.
+
+    With a report nothing fails: rows with a NULL are dropped and counted as `not_null_dropped`
+    in the pass that writes the others.
+    """
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns], F.lit(True))
+    if report is not None:
+        return expect_or_drop(df, "not_null", whole, report)
+    return expect_or_fail(df, "not_null", whole)
+
+
 @dataclass(frozen=True)
-class Drift:
-    """Result of comparing a schema with an allow-list."""
+class Difference:
+    """One field, by its dotted path, that differs between two schemas; None where it is absent."""
+
+    path: str
+    expected: str | None
+    found: str | None
 
-    passed: bool
-    unexpected: list[str]
-    missing: list[str]
 
+def _fields(schema: StructType, prefix: str = "") -> dict[str, str]:
+    """Type of every field by path; fields of structs and of arrays of structs are listed, too."""
+    out = {}
+    for field in schema:
+        path, kind = prefix + field.name, field.dataType
+        while isinstance(kind, ArrayType):
+            path, kind = path + "[]", kind.elementType
+        if isinstance(kind, StructType):
+            out[path] = "struct"
+            out |= _fields(kind, path + ".")
+        else:
+            out[path] = kind.simpleString()
+    return out
 
-def schema_drift(
-    df: DataFrame, expected: Iterable[str], metadata: Iterable[str] = (), fail: bool = True
-) -> Drift:
-    """Columns nobody reviewed, and expected columns that are not there.
 
-    Unexpected columns raise, or are only reported with fail=False; missing ones
-    never raise.
+def schema_drift(found: StructType, expected: StructType, metadata: Iterable[str] = FEED_COLUMNS) -> list[Difference]:
+    """Where a schema differs from the reviewed one, in path order: new, absent and retyped fields.
+
+    A pure comparison: `refuse_drift` decides what it means.  Metadata columns are not looked at.
     """
-    expected = list(expected)
-    known = {*expected, *metadata}
-    unexpected = sorted(c for c in df.columns if c not in known)
-    missing = sorted(c for c in expected if c not in df.columns)
-    if missing:
-        log.warning("expected columns are missing: %s", missing)
-    if unexpected:
-        text = f"columns outside the allow-list: {unexpected}; review them before they enter a dimension"
-        if fail:
-            raise ValueError(text)
-        log.error(text)
-    return Drift(not unexpected, unexpected, missing)
+    ignored = set(metadata)
+    have = _fields(StructType([f for f in found if f.name not in ignored]))
+    want = _fields(StructType([f for f in expected if f.name not in ignored]))
+    return [
+        Difference(path, want.get(path), have.get(path))
+        for path in sorted(have.keys() | want.keys())
+        if want.get(path) != have.get(path)
+    ]
+
+
+def refuse_drift(differences: Iterable[Difference]) -> None:
+    """Raise if a field is new or has another type; an absent field reads as NULL and passes."""
+    bad = [d for d in differences if d.found is not None]
+    if bad:
+        told = "; ".join(f"{d.path} is {d.found}, reviewed as {d.expected or 'nothing'}" for d in bad)
+        raise ValueError(f"the schema was not reviewed: {told}")
 
 
 def safe_cdf_read(
     feed: DataFrame, start: int, expected: StructType, end: int | None = None
 ) -> DataFrame:
-    """A version range in the shape a consumer declared.
+    """A version range in the shape a consumer declared, whatever its source has become.
 
-    Expected columns come in the declared order, missing ones as NULL of the declared
-    type; new upstream columns are ignored and logged.
+    Expected columns come in the declared order and type, absent ones as NULL; other data
+    columns stay out.  Differences are logged.
     """
-    new = [c for c in feed.columns if c not in expected.names and c not in FEED_COLUMNS]
-    absent = [f.name for f in expected if f.name not in feed.columns]
-    if absent:
-        log.warning("expected columns are not in the feed and read as NULL: %s", absent)
-    if new:
-        log.info("new upstream columns are ignored: %s", new)
-    columns = [
-        (F.col(f.name) if f.name in feed.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in expected
-    ]
-    return changes_between(feed, start, end).select(*columns, *FEED_COLUMNS)
+    for d in schema_drift(feed.schema, expected):
+        log.warning("feed column %s: expected %s, found %s", d.path, d.expected, d.found)
+    present = set(feed.columns)
+    shaped = {f.name: (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType) for f in expected}
+    rows = changes_between(feed, start, end)
+    return rows.select(*[value.alias(name) for name, value in shaped.items()], *FEED_COLUMNS)
 
 
 def drift_impact(events: DataFrame, spec: Scd2, suspects: Sequence[str], version: str) -> DataFrame:

@@ -122,15 +122,35 @@ def processing_lag(commits: DataFrame, progress: DataFrame) -> DataFrame:
 def guarded_batch(health: DataFrame, run: Callable[[], DataFrame]) -> DataFrame:
     """Run a batch only if every source is healthy; raise before any data is read.
 
-    `health` has one row per source; only the first unhealthy ones come to the driver.
+    `health` has one row per source and at least one.  The error counts the unhealthy sources
+    by their issues, of which there are a few combinations; its `unhealthy` holds all their rows.
     """
-    bad = health.where(F.col("status") != "OK").limit(20).collect()
+    unhealthy = health.where(F.col("status") != "OK")
+    found = health.groupBy("status", "issues", "action").agg(
+        F.count("*").alias("sources"), F.min(F.struct("source", "last_version")).alias("first")
+    )
+    groups = found.orderBy("status", "issues").collect()
+    if not groups:
+        raise UnhealthyError("no source was checked", unhealthy)
+    bad = [r for r in groups if r["status"] != "OK"]
     if bad:
-        lines = [f"{r['source']}: {r['issues']} (last version {r['last_version']}). {r['action']}" for r in bad]
-        raise RuntimeError("the batch was stopped by the health check\n" + "\n".join(lines))
+        lines = [
+            f"{r['issues']}: {r['sources']} sources, {r['first']['source']} first "
+            f"(last version {r['first']['last_version']}). {r['action']}"
+            for r in bad
+        ]
+        raise UnhealthyError("the batch was stopped by the health check\n" + "\n".join(lines), unhealthy)
     return run()
 
 
+class UnhealthyError(RuntimeError):
+    """A batch that was not run, with the health rows of all sources that stopped it."""
+
+    def __init__(self, text: str, unhealthy: DataFrame):
+        super().__init__(text)
+        self.unhealthy = unhealthy
+
+
 @dataclass(frozen=True)
 class Baseline:
     """A snapshot at one version, and the watermark that goes with it."""
@@ -144,13 +164,15 @@ class Baseline:
         )
 
 
-def rebaseline(feed: DataFrame, commits: DataFrame, keys: Sequence[str]) -> Baseline:
+def rebaseline(
+    feed: DataFrame, commits: DataFrame, keys: Sequence[str], source: str | None = None
+) -> Baseline:
     """The table at its latest version as a new baseline after lost history.
 
     The version is read once and fixes the snapshot, so a commit in between is not
     applied twice.  Rows carry it; the next read starts one version later.
     """
-    version = latest_version(commits)
+    version = latest_version(commits, source)
     snapshot = snapshot_as_of(feed, version, keys)
     return Baseline(snapshot.withColumn(LAST_VERSION, F.lit(version).cast("bigint")), version)
 
@@ -169,13 +191,17 @@ def gap_repair(
     of the snapshots gives the net change; the states between are lost.  All rows
     carry the last version of the gap and the mark `synthetic`.
 
-    `gap` is one row of `gap_window`.
+    `gap` is one row of `gap_window`; several gaps need several pairs of snapshots and
+    are refused.
     """
-    window = gap.first()
-    if window is None:
+    windows = gap.limit(2).collect()
+    if not windows:
         raise ValueError("there is no gap to repair")
-    last = window["last_version"]
-    at = commits.where(F.col("version") == last).agg(F.max("timestamp").alias("at"))
+    if len(windows) > 1:
+        raise ValueError("there is more than one gap; repair each with the snapshots at its own ends")
+    window, last = windows[0], windows[0]["last_version"]
+    mine = commits.where(F.col("source").eqNullSafe(F.lit(window["source"])) & (F.col("version") == last))
+    at = mine.agg(F.max("timestamp").alias("at"))
     stamp = [
         F.lit(last).cast("bigint").alias(COMMIT_VERSION),
         at.scalar().alias(COMMIT_TIMESTAMP),

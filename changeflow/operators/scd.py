@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from changeflow.contracts import CHANGE_TYPE, require_columns
 from changeflow.functions.compare import all_same, any_differs, keys_match
-from changeflow.functions.ordered import KeyOrder
+from changeflow.functions.ordered import KeyOrder, spread_ties
 from changeflow.operators.changes import without_preimages
 
 
@@ -254,11 +255,14 @@ def as_of_dimension(
             row.alias("version"),
         )
     )
+    hashed = [f.name for f in facts.schema if not isinstance(f.dataType, MapType)]
     asking = facts.select(
         *keys,
         F.col(time).alias("at"),
         F.lit(1).alias("side"),
-        F.lit(0).cast("bigint").alias("tie"),
+        # All facts of one time get the same version, so any order of them will do: a time
+        # that very many facts share can be cut.
+        spread_ties(*hashed).alias("tie"),
         F.struct(*[c for c in facts.columns if c not in keys]).alias("fact"),
     )
     both = versions.unionByName(asking, allowMissingColumns=True)

@@ -127,33 +127,43 @@ def column_tags(df: DataFrame) -> dict[str, str]:
 
 @dataclass(frozen=True)
 class TagPolicy:
-    """A rule for every column with a tag: kind `filter`, or `mask` with the group that may read."""
+    """A rule for every column with a tag: kind `filter`, or `mask` with the group that may read.
+
+    `scope` is the table, or the prefix of tables that ends with a dot or is empty for all, that
+    the rule holds for; `applies_to` are the groups that it is aimed at, all readers if None.
+    """
 
     name: str
     tag: str
     kind: str
     group: str | None = None
+    scope: str = ""
+    applies_to: tuple[str, ...] | None = None
+
+    def holds(self, table: str, groups: Iterable[str]) -> bool:
+        inside = not self.scope or table == self.scope or table.startswith(self.scope.rstrip(".") + ".")
+        return inside and (self.applies_to is None or bool(set(self.applies_to) & set(groups)))
 
 
 # The three policies of the tag taxonomy.
 STANDARD_POLICIES = (
-    TagPolicy("regional_row_filter", "state", "filter"),
-    TagPolicy("pii_column_mask", "pii", "mask", "HR"),
-    TagPolicy("financial_column_mask", "financial", "mask", "Finance"),
+    TagPolicy("own_state_only", "state", "filter"),
+    TagPolicy("hide_personal", "pii", "mask", "HR"),
+    TagPolicy("hide_pay", "financial", "mask", "Finance"),
 )
 
 
 def apply_tag_policies(
-    df: DataFrame, policies: Sequence[TagPolicy], groups: Iterable[str]
+    df: DataFrame, policies: Sequence[TagPolicy], groups: Iterable[str], table: str = ""
 ) -> DataFrame:
-    """The table under all policies its column tags match; an untagged table is unchanged.
+    """The table under all policies that its name, its column tags and the reader's groups match.
 
-    Two masks on one column raise.
+    An untagged table is unchanged.  Two masks on one column raise.
     """
     groups = list(groups)
     rows, masks = df, {}
     for column, tag in column_tags(df).items():
-        hits = [p for p in policies if p.tag == tag]
+        hits = [p for p in policies if p.tag == tag and p.holds(table, groups)]
         if len([p for p in hits if p.kind == "mask"]) > 1:
             raise ValueError(f"column {column} is masked by {[p.name for p in hits]}")
         for p in hits:
@@ -167,25 +177,34 @@ def apply_tag_policies(
 def visible_rows(df: DataFrame, column: str, principals: DataFrame, bypass: str = BYPASS_GROUP) -> DataFrame:
     """How many rows each reader may see, and whether the reader proves anything about the filter.
 
-    The table is counted per value first; only these counts meet the readers, in one
-    join and one aggregate.
+    The table is counted per value in one pass; only these counts, and their sum as what a
+    bypass group sees, meet the readers in one join and one aggregate.
     """
     group = F.col("group_name")
-    per_value = df.groupBy(F.col(column).alias("group_name")).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("n")).scalar()
+    every = F.col("every") == 1
+    counts = (
+        df.rollup(F.col(column).alias("value"))
+        .agg(F.grouping_id().alias("every"), F.count("*").alias("rows"))
+        .select(
+            F.when(every, bypass).otherwise(F.col("value")).alias("group_name"),
+            F.when(~every, F.col("rows")).alias("n"),
+            F.when(every, F.col("rows")).alias("total"),
+        )
+    )
     return (
         principals.select("principal", "group_name")
         .distinct()
-        .join(per_value, "group_name", "left")
+        .join(counts, "group_name", "left")
         .groupBy("principal")
         .agg(
             F.max(group == bypass).alias("bypasses"),
             F.max(group.isin(*TEST_BYPASS_GROUPS)).alias("excluded"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("member_rows"),
+            F.coalesce(F.max("total"), F.lit(0)).alias("total"),
         )
         .select(
             "principal",
-            F.when(F.col("bypasses"), total).otherwise(F.col("member_rows")).alias("visible_rows"),
+            F.when(F.col("bypasses"), F.col("total")).otherwise(F.col("member_rows")).alias("visible_rows"),
             (~F.col("excluded")).alias("proves"),
         )
     )

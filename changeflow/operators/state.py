@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, MapType, StructField, StructType
 
 from changeflow.contracts import (
     CHANGE_TYPE,
@@ -20,8 +20,9 @@ from changeflow.contracts import (
     LAST_VERSION,
     POSTIMAGE,
     PREIMAGE,
-    change_rank,
     data_columns,
+    is_change,
+    unknown_change,
 )
 from changeflow.functions.compare import any_differs, keys_match
 from changeflow.operators.changes import latest_by_key, without_preimages
@@ -40,9 +41,16 @@ def current_snapshot(state: DataFrame) -> DataFrame:
 
 
 def _fold(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Per key the row with the greatest (version, rank); a delete keeps key and version only."""
+    """Per key the row of the greatest version; a delete keeps key and version only.
+
+    Within a version a live row is the net result and stands above a delete.  A feed has one
+    live image per key and version; if there are more, a hash of the values decides.  All of
+    it can be seen in a stored row, so the result doesn't depend on the order of arrival.
+    """
+    hashed = [c for c in columns if not isinstance(rows.schema[c].dataType, MapType)]
+    place = F.struct(LAST_VERSION, ~F.col(IS_DELETED), F.xxhash64(F.lit(0), *hashed))
     winner = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*columns, LAST_VERSION, IS_DELETED), F.struct(LAST_VERSION, "rank")).alias("row")
+        F.max_by(F.struct(*columns, LAST_VERSION, IS_DELETED), place).alias("row")
     )
     values = [F.when(~F.col(f"row.{IS_DELETED}"), F.col(f"row.{c}")).alias(c) for c in columns]
     return winner.select(*keys, *values, f"row.{LAST_VERSION}", f"row.{IS_DELETED}")
@@ -53,8 +61,10 @@ def _events(feed: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
         *keys,
         *columns,
         F.col(COMMIT_VERSION).alias(LAST_VERSION),
-        (F.col(CHANGE_TYPE) == DELETE).alias(IS_DELETED),
-        change_rank().alias("rank"),
+        F.when(is_change(DELETE), True)
+        .when(is_change(INSERT, POSTIMAGE), False)
+        .otherwise(unknown_change().cast("boolean"))
+        .alias(IS_DELETED),
     )
 
 
@@ -69,8 +79,8 @@ def apply_changes_scd1(
 ) -> DataFrame:
     """Apply change rows to a state, in any order and any number of times.
 
-    The higher version wins and the state wins a tie, so the result depends only
-    on the set of rows ever seen.  A deleted key stays as a tombstone with its
+    The higher version wins and a live row stands above a delete of its version, so
+    the result depends only on the set of rows ever seen.  A deleted key stays as a tombstone with its
     version; otherwise a late older insert would bring it back.  `floor` is a
     version below which no row can arrive any more: older rows are left out and
     older tombstones are forgotten.
@@ -81,8 +91,7 @@ def apply_changes_scd1(
     events = _events(feed, keys, columns)
     if floor is not None:
         events = events.where(F.col(LAST_VERSION) > floor)
-    held = state.withColumn("rank", F.lit(9))
-    folded = _fold(held.unionByName(events), keys, columns)
+    folded = _fold(state.unionByName(events), keys, columns)
     if floor is not None:
         folded = folded.where(~F.col(IS_DELETED) | (F.col(LAST_VERSION) > floor))
     return folded
@@ -91,9 +100,7 @@ def apply_changes_scd1(
 def fold_states(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One state from state rows of many batches: per key the highest version."""
     columns = [c for c in parts.columns if c not in (*keys, LAST_VERSION, IS_DELETED)]
-    # Within one version a live row is the net result of a commit, as in change_rank.
-    ranked = parts.withColumn("rank", F.when(F.col(IS_DELETED), 1).otherwise(2))
-    return _fold(ranked, keys, columns)
+    return _fold(parts, keys, columns)
 
 
 def snapshot_as_of(feed: DataFrame, version: int, keys: Sequence[str]) -> DataFrame:

@@ -40,17 +40,22 @@ def run_batch(
     between the same slice comes again and the version guard makes it a no-op.
     """
     ledger = commits.where(F.col("source") == source)
-    mine = progress.where(F.col("source") == source)
-    last = mine.agg(F.coalesce(F.max("last_version"), F.lit(0)).alias("v")).first()["v"]
-    end = latest_version(ledger)
+    # A source that has no watermark yet starts at 0 and is checked like any other.
+    held = progress.where(F.col("source") == source).agg(F.max("last_version").alias("v"))
+    last = held.first()["v"] or 0
+    mine = _watermark(progress, source, last)
+    end = latest_version(ledger, source)
 
     def apply() -> DataFrame:
         changes = safe_cdf_read(feed, last + 1, expected, end)
         return apply_changes_scd1(state, changes, keys)
 
     new_state = guarded_batch(feed_health(ledger, mine, max_lag), apply)
-    moved = progress.withColumn(
-        "last_version",
-        F.when(F.col("source") == source, F.lit(end).cast("bigint")).otherwise(F.col("last_version")),
+    others = progress.where(~F.col("source").eqNullSafe(source))
+    return BatchResult(new_state, others.unionByName(_watermark(progress, source, end)))
+
+
+def _watermark(progress: DataFrame, source: str, version: int) -> DataFrame:
+    return progress.sparkSession.range(1).select(
+        F.lit(source).alias("source"), F.lit(version).cast("bigint").alias("last_version")
     )
-    return BatchResult(new_state, moved)

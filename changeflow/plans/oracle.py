@@ -270,7 +270,7 @@ ORACLE_SQL: dict[str, str] = {
           SELECT 'month', CAST(date_trunc('month', _commit_timestamp) AS DATE), COUNT(*) FROM feed GROUP BY 2)"""),
     # projections, filters, predicates
     "safe_cdf_read": sql(f"""
-        SELECT user_id, segment, CAST(NULL AS INTEGER) AS loyalty_tier, score,
+        SELECT user_id, segment, CAST(NULL AS INTEGER) AS added_later, score,
                _change_type, _commit_version, _commit_timestamp
         FROM feed WHERE _commit_version >= {v(30)}"""),
     "filter_change_type": sql(
@@ -330,7 +330,7 @@ ORACLE_SQL: dict[str, str] = {
     "merge_state": sql("SELECT * FROM live"),
     "anti_new_keys": """
         SELECT * FROM customer WHERE c_custkey NOT IN (
-          SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')""",
+          SELECT o_custkey FROM orders)""",
     "member_rows": sql("""
         SELECT * FROM people
         WHERE state IN (SELECT group_name FROM principals WHERE principal = 'Supplier#000000001')"""),
@@ -348,7 +348,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT _change_type, MAX(_commit_version) AS high_water_mark FROM feed GROUP BY _change_type"""),
     "duplicate_current": sql("""
         SELECT user_id, COUNT(*) AS open_rows FROM stepped WHERE is_current
-        GROUP BY user_id HAVING COUNT(*) > 1""", MANUAL_DIM, stepped("later")),
+        GROUP BY user_id HAVING COUNT(*) > 1""",
+        MANUAL_DIM, "later_alive AS (SELECT * FROM later WHERE operation <> 'DELETE')", stepped("later_alive")),
     "duplicate_open_rows": sql("""
         SELECT user_id, COUNT(*) AS open_rows FROM dim2 WHERE __END_AT IS NULL
         GROUP BY user_id HAVING COUNT(*) > 1""", DIM2),
@@ -416,6 +417,34 @@ ORACLE_SQL: dict[str, str] = {
         FULL OUTER JOIN (SELECT user_id, COUNT(*) AS d FROM dim2 GROUP BY user_id) USING (user_id)""", DIM2),
     "rebaseline": sql(f"SELECT * REPLACE ({TOP} AS last_commit_version) FROM live"),
     "recover_stream": sql("SELECT * FROM feed"),
+    "recover_split_commit": sql("SELECT * FROM feed"),
+    "apply_scd1_split_versions": sql("""
+        SELECT user_id, segment, score, note, _commit_version AS last_commit_version
+        FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY _commit_version DESC,
+                                       CASE WHEN _change_type = 'delete' THEN 1 ELSE 0 END) AS rn
+          FROM (
+            SELECT * FROM feed WHERE _change_type <> 'update_preimage'
+            UNION ALL
+            SELECT user_id, segment, score, note, 'insert', _commit_version, _commit_timestamp
+            FROM feed WHERE _change_type = 'delete' AND _commit_version % 2 = 0))
+        WHERE rn = 1 AND _change_type <> 'delete'"""),
+    "gap_repair_inserts": sql(f"""
+        SELECT DISTINCT user_id + 1000000 AS user_id, 'insert' AS _change_type, {v(45)} AS _commit_version,
+               TRUE AS synthetic
+        FROM feed WHERE _change_type = 'insert' AND _commit_version BETWEEN {v(40)} AND {v(45)}"""),
+    "run_first_batch": f"""
+        SELECT 'others' AS source, CAST(7 AS BIGINT) AS last_version UNION ALL SELECT 'users', {TOP}""",
+    "stream_drops": sql("""
+        SELECT CAST(CAST(date_trunc('month', _commit_timestamp) AS DATE) AS VARCHAR) AS what, COUNT(*) AS "rows"
+        FROM feed WHERE score < 50 GROUP BY 1
+        UNION ALL SELECT 'cheap', COUNT(*) FROM feed WHERE score >= 50 OR score IS NULL"""),
+    "tag_policies_by_table": """
+        SELECT 'hr.people' AS "table", COUNT(*) AS "rows", COUNT(*) AS readable
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE r_name = 'ASIA'
+        UNION ALL SELECT 'hr.untagged', COUNT(*), COUNT(*) FROM customer
+        UNION ALL SELECT 'sales.people', COUNT(*), COUNT(*) FROM customer""",
     "gap_window": sql(f"""
         SELECT source, {v(40)} AS first_version, {v(45)} AS last_version,
                MIN(version) FILTER (WHERE operation <> 'OPTIMIZE') AS first_data_version,
@@ -502,13 +531,13 @@ ORACLE_SQL: dict[str, str] = {
                COUNT(*) FILTER (WHERE mechanism <> 'none') OVER (PARTITION BY table_name, column_name) > 1 AS overlap
         FROM (
           SELECT 'people' AS table_name, 'state' AS column_name, 'state' AS tag, 'tag policy' AS mechanism,
-                 'regional_row_filter' AS rule, (SELECT COUNT(state) FROM people) AS covered_values
-          UNION ALL SELECT 'people', 'tfn', 'pii', 'tag policy', 'pii_column_mask', (SELECT COUNT(tfn) FROM people)
-          UNION ALL SELECT 'people', 'salary', 'financial', 'tag policy', 'financial_column_mask',
+                 'own_state_only' AS rule, (SELECT COUNT(state) FROM people) AS covered_values
+          UNION ALL SELECT 'people', 'tfn', 'pii', 'tag policy', 'hide_personal', (SELECT COUNT(tfn) FROM people)
+          UNION ALL SELECT 'people', 'salary', 'financial', 'tag policy', 'hide_pay',
                            (SELECT COUNT(salary) FROM people)
           UNION ALL SELECT 'people', 'state', NULL, 'table rule', 'row filter', (SELECT COUNT(state) FROM people)
           UNION ALL SELECT 'people', 'tfn', NULL, 'table rule', 'column mask', (SELECT COUNT(tfn) FROM people)
-          UNION ALL SELECT 'suppliers', 's_acctbal', 'financial', 'tag policy', 'financial_column_mask',
+          UNION ALL SELECT 'suppliers', 's_acctbal', 'financial', 'tag policy', 'hide_pay',
                            (SELECT COUNT(s_acctbal) FROM supplier)
           UNION ALL SELECT 'suppliers', 's_name', 'public', 'none', NULL, (SELECT COUNT(s_name) FROM supplier))"""),
 }

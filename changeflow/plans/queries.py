@@ -7,6 +7,7 @@ at percentages of the version range, so the work grows with the tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from changeflow.sources import commits as ledger
 from changeflow.sources import derived, feed as reading
 from changeflow.sources.storage import new_folder
 from changeflow.streaming import consumers, dimension
-from changeflow.streaming.sinks import Job, read_batches
+from changeflow.streaming.sinks import Job, read_batches, read_feed_sink, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,7 +143,7 @@ def stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(job.folder(batch_id))
 
-    consumers.run_available(reading.stream_table(spark, path, raw.schema), job, write)
+    run(reading.stream_table(spark, path, raw.schema), job, write)
     return read_batches(spark, job.sink)
 
 
@@ -223,6 +224,19 @@ def apply_dml_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_dml(spark, sf_dir)[1]
 
 
+@query
+def apply_scd1_split_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every commit comes in two batches, its delete last or first, and once more as a whole."""
+    feed = read_stored_feed(spark, sf_dir)
+    reborn = feed.where(F.col("_change_type") == DELETE).withColumn("_change_type", F.lit(INSERT))
+    both = feed.unionByName(reborn.where(F.pmod("_commit_version", F.lit(2)) == 0))
+    deletes, others = both.where(F.col("_change_type") == DELETE), both.where(F.col("_change_type") != DELETE)
+    held = state.empty_state(spark, feed, KEYS)
+    for part in (others, deletes, both):
+        held = state.apply_changes_scd1(held, part, KEYS)
+    return state.current_snapshot(held)
+
+
 @query
 def enforce_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = state.fold_feed(derived.user_feed(spark, sf_dir), KEYS)
@@ -253,7 +267,7 @@ EXPECTED = StructType(
     [
         StructField("user_id", LongType()),
         StructField("segment", StringType()),
-        StructField("loyalty_tier", IntegerType()),
+        StructField("added_later", IntegerType()),
         StructField("score", DoubleType()),
     ]
 )
@@ -380,10 +394,7 @@ def merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anti_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = derived.table(spark, sf_dir, "orders").where(
-        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
-    )
-    seen = urgent.select(F.col("o_custkey").alias("c_custkey"))
+    seen = derived.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return scd.anti_new_keys(derived.table(spark, sf_dir, "customer"), seen, ["c_custkey"])
 
 
@@ -430,7 +441,7 @@ def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def duplicate_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim, later = manual_dimension(spark, sf_dir)
-    stepped = scd.scd2_step(dim, later, raw_spec())
+    stepped = scd.scd2_step(dim, later.where(F.col("operation") != "DELETE"), raw_spec())
     return scd.duplicate_current(stepped, KEYS, F.col("is_current"))
 
 
@@ -601,7 +612,25 @@ def recover_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     consumers.append_available(first, job, columns)
     reading.changes_between(feed, half + 1).write.mode("append").parquet(path)
     consumers.recover_stream(spark, path, feed.schema, job, columns)
-    return read_batches(spark, job.sink)
+    return read_feed_sink(spark, job.sink)
+
+
+@query
+def recover_split_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpoint is lost between the two files of one commit."""
+    feed, half = derived.user_feed(spark, sf_dir), at(spark, sf_dir, 50)
+    last = feed.where((F.col("_commit_version") <= half) & (F.col("_change_type") == PREIMAGE))
+    split = last.agg(F.max("_commit_version").alias("v")).scalar()
+    first_half = (F.col("_commit_version") < split) | (
+        (F.col("_commit_version") == split) & (F.col("_change_type") == PREIMAGE)
+    )
+    path, job = new_folder(spark, "feed"), new_job(spark, "recover-split")
+    columns = ["user_id", *VALUES]
+    feed.where(first_half).write.parquet(path)
+    consumers.append_available(reading.stream_changes(spark, path, feed.schema, 1), job, columns)
+    feed.where(~first_half).write.mode("append").parquet(path)
+    consumers.recover_stream(spark, path, feed.schema, job, columns)
+    return read_feed_sink(spark, job.sink)
 
 
 @query
@@ -658,6 +687,27 @@ def backfill_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.backfill_drift(rebuilt, stored, KEYS, "__START_VERSION", "__START_AT")
 
 
+@query
+def gap_repair_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gap in which every data commit was an insert gives inserts only."""
+    feed, commits = read_stored_feed(spark, sf_dir), derived.commits(spark, sf_dir)
+    first, last = at(spark, sf_dir, 40), at(spark, sf_dir, 45)
+    inserts = feed.where(F.col("_change_type") == INSERT)
+    inside = inserts.where(F.col("_commit_version").between(first, last)).dropDuplicates(KEYS)
+    pre = state.snapshot_as_of(feed, first - 1, KEYS)
+    post = pre.select("user_id", *VALUES).unionByName(
+        inside.select("user_id", *VALUES).withColumn("user_id", F.col("user_id") + 1_000_000)
+    )
+    calm = commits.withColumn(
+        "operation",
+        F.when(~F.col("feed_enabled") & F.col("operation").isin("UPDATE", "DELETE", "MERGE", "WRITE"), "INSERT").otherwise(
+            F.col("operation")
+        ),
+    )
+    fixed = recovery.gap_repair(pre, post, KEYS, VALUES, ledger.gap_window(calm), calm)
+    return fixed.select("user_id", "_change_type", "_commit_version", "synthetic")
+
+
 @query
 def feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     commits = derived.source_commits(spark, sf_dir)
@@ -676,9 +726,22 @@ def run_full_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = at(spark, sf_dir, 60)
     held = state.fold_feed(reading.changes_between(feed, 0, start), KEYS).drop("note")
     progress = spark.createDataFrame([("users", start)], "source string, last_version bigint")
-    expected = StructType([f for f in EXPECTED if f.name != "loyalty_tier"])
-    whole_range = at(spark, sf_dir, 100)
-    return run_batch("users", feed, commits, held, progress, KEYS, expected, whole_range).state
+    expected = StructType([f for f in EXPECTED if f.name != "added_later"])
+    # As many versions as the consumer is behind: one less would close the gate.
+    lag = at(spark, sf_dir, 100) - start
+    return run_batch("users", feed, commits, held, progress, KEYS, expected, lag).state
+
+
+@query
+def run_first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermarks after the first batch of a source that had none."""
+    feed, commits = derived.user_feed(spark, sf_dir), derived.commits(spark, sf_dir)
+    # All is retained and the feed was never off: a first batch needs both.
+    whole = commits.withColumn("retained", F.lit(True)).withColumn("feed_enabled", F.lit(True))
+    held = state.empty_state(spark, feed, KEYS).drop("note")
+    progress = spark.createDataFrame([("others", 7)], "source string, last_version bigint")
+    expected = StructType([f for f in EXPECTED if f.name != "added_later"])
+    return run_batch("users", feed, whole, held, progress, KEYS, expected, at(spark, sf_dir, 100)).progress
 
 
 # --- streaming ---------------------------------------------------------------
@@ -732,7 +795,22 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = reading.stream_changes(spark, path, feed.schema, 0, part_of_files(spark, 2))
     known = ("known_user", F.col("user_id").isNotNull())
     consumers.stream_history(stream, job, known, ntz("2024-02-01 00:00:00"))
-    return read_batches(spark, job.sink, widen=True)
+    return read_batches(spark, job.sink)
+
+
+@query
+def stream_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows an expectation dropped, counted while the stream wrote the others, by month."""
+    feed = derived.user_feed(spark, sf_dir)
+    path, job = stored_feed(spark, feed, "feed"), new_job(spark, "drops")
+    stream = reading.stream_changes(spark, path, feed.schema, 0, part_of_files(spark, 2))
+    cheap = ("cheap", F.col("score") < 50)
+    consumers.stream_history(stream, job, cheap, ntz("2024-02-01 00:00:00"), grain="month")
+    kept = read_batches(spark, job.sink).groupBy("commit_date").agg(F.count("*").alias("rows"))
+    dropped = consumers.read_drops(spark, job.sink)
+    return kept.select(F.col("commit_date").cast("string").alias("what"), "rows").unionByName(
+        dropped.select(F.col("expectation").alias("what"), F.col("dropped").alias("rows"))
+    )
 
 
 @query
@@ -818,6 +896,21 @@ def apply_tag_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return security.apply_tag_policies(people, security.STANDARD_POLICIES, derived.READERS["hr"])
 
 
+@query
+def tag_policies_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One set of policies for all tables below `hr`, on a tagged and an untagged table and one elsewhere."""
+    people = derived.people(spark, sf_dir)
+    untagged = people.select(*[F.col(c).alias(c, metadata={}) for c in people.columns])
+    policies = [replace(p, scope="hr") for p in security.STANDARD_POLICIES]
+    seen = [
+        security.apply_tag_policies(df, policies, ["ASIA", "HR"], table).agg(
+            F.count("*").alias("rows"), F.count(F.when(F.col("tfn") != "XXX", 1)).alias("readable")
+        ).select(F.lit(table).alias("table"), "rows", "readable")
+        for table, df in (("hr.people", people), ("hr.untagged", untagged), ("sales.people", people))
+    ]
+    return changes.union_changes(seen)
+
+
 @query
 def verify_row_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected rows leave out customers in debt, so that excess shows up."""

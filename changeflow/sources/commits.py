@@ -19,19 +19,39 @@ def commit_history(commits: DataFrame, lo: int | None = None, hi: int | None = N
     return rows.orderBy("version")
 
 
-def latest_commit(commits: DataFrame) -> DataFrame:
-    """The newest commit, as one row."""
-    return commits.orderBy(F.col("version").desc()).limit(1)
+def of_one_source(commits: DataFrame, value: Column, source: str | None = None) -> DataFrame:
+    """An aggregate over the commits of one source, as one row with the column `v`.
+
+    Versions of different tables don't compare: without `source`, a ledger that holds several
+    fails the job in the same aggregate.
+    """
+    if source is not None:
+        return commits.where(F.col("source") == source).agg(value.alias("v"))
+    if "source" not in commits.columns:
+        return commits.agg(value.alias("v"))
+    several = ~F.min("source").eqNullSafe(F.max("source"))
+    refusal = F.raise_error(F.lit("the commit ledger holds several sources; name one"))
+    return commits.agg(value.alias("v"), F.when(several, refusal).cast("string").alias("refusal")).where(
+        F.col("refusal").isNull()
+    ).select("v")
+
+
+def latest_commit(commits: DataFrame, source: str | None = None) -> DataFrame:
+    """The newest commit of a source, as one row; none for an empty ledger."""
+    newest = F.max_by(F.struct(*commits.columns), "version")
+    return of_one_source(commits, newest, source).where("v IS NOT NULL").select("v.*")
 
 
-def latest_version(commits: DataFrame) -> int:
-    """The newest version as a number; 0 for an empty ledger."""
-    return commits.agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"]
+def latest_version(commits: DataFrame, source: str | None = None) -> int:
+    """The newest version of a source as a number; 0 for an empty ledger."""
+    return of_one_source(commits, F.coalesce(F.max("version"), F.lit(0)), source).first()["v"]
 
 
-def since_commit(df: DataFrame, time: str, commits: DataFrame, version: int) -> DataFrame:
-    """Rows whose time is after the timestamp of one commit."""
-    at = commits.where(F.col("version") == version).agg(F.max("timestamp").alias("at"))
+def since_commit(
+    df: DataFrame, time: str, commits: DataFrame, version: int, source: str | None = None
+) -> DataFrame:
+    """Rows whose time is after the timestamp of one commit of a source."""
+    at = of_one_source(commits, F.max(F.when(F.col("version") == version, F.col("timestamp"))), source)
     return df.where(F.col(time) > at.scalar())
 
 

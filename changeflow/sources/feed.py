@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from changeflow.contracts import COMMIT_VERSION, FEED_COLUMNS, check_feed
+from changeflow.sources.commits import of_one_source
 
 
 def changes_between(feed: DataFrame, start: int, end: int | None = None) -> DataFrame:
@@ -26,17 +27,20 @@ def changes_since(
     commits: DataFrame,
     ts_start: datetime | Column,
     ts_end: datetime | Column | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """Change rows from the first commit at or after ts_start to the last at or before ts_end.
 
-    The two versions are scalar subqueries over the commit ledger.  A time without
-    such a commit gives an empty frame.
+    The two versions are scalar subqueries over the ledger of one source.  A time
+    without such a commit gives an empty frame.
     """
-    first = commits.where(F.col("timestamp") >= _column(ts_start)).agg(F.min("version").alias("v"))
+    inside = F.when(F.col("timestamp") >= _column(ts_start), F.col("version"))
+    first = of_one_source(commits, F.min(inside), source)
     rows = feed.where(F.col(COMMIT_VERSION) >= first.scalar())
     if ts_end is None:
         return rows
-    last = commits.where(F.col("timestamp") <= _column(ts_end)).agg(F.max("version").alias("v"))
+    inside = F.when(F.col("timestamp") <= _column(ts_end), F.col("version"))
+    last = of_one_source(commits, F.max(inside), source)
     return rows.where(F.col(COMMIT_VERSION) <= last.scalar())
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from changeflow.contracts import COMMIT_DATE, COMMIT_VERSION
@@ -20,7 +22,7 @@ from changeflow.operators.history import history_rows
 from changeflow.operators.quality import expect_or_drop
 from changeflow.operators.state import current_snapshot, fold_feed, fold_states
 from changeflow.sources.feed import stream_changes
-from changeflow.streaming.sinks import Job, read_batches, run_available
+from changeflow.streaming.sinks import RUN, Job, read_batches, read_feed_sink, run
 
 
 def run_feed_stream(stream: DataFrame, job: Job, columns: Sequence[str]) -> DataFrame:
@@ -29,16 +31,20 @@ def run_feed_stream(stream: DataFrame, job: Job, columns: Sequence[str]) -> Data
     return sink_report(stream.sparkSession, job.sink)
 
 
-def append_available(stream: DataFrame, job: Job, columns: Sequence[str]) -> None:
+def append_available(
+    stream: DataFrame, job: Job, columns: Sequence[str], every: str | None = None
+) -> StreamingQuery:
+    """Append the projected feed; `every` keeps the stream running at that interval, as in all consumers."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(job.folder(batch_id))
 
-    run_available(project_sink(stream, columns), job, write)
+    return run(project_sink(stream, columns), job, write, every)
 
 
 def sink_report(spark: SparkSession, sink: str) -> DataFrame:
     """Rows and greatest version of a sink, in one pass over one column."""
-    return read_batches(spark, sink).agg(
+    return read_feed_sink(spark, sink).agg(
         F.count("*").alias("sink_rows"), F.max(COMMIT_VERSION).alias("last_version")
     )
 
@@ -51,14 +57,16 @@ def recover_stream(
     columns: Sequence[str],
     files_per_batch: int | None = None,
 ) -> Job:
-    """Resume after a lost checkpoint: read on after the sink's last version, under a new checkpoint.
+    """Resume after a lost checkpoint: read on from the sink's last version, under a new checkpoint.
 
-    Right when the feed lands in version order, as a feed does; for other arrival
-    orders use a version-guarded state, which may read everything again.
+    That version itself is read again, since the files of one commit may lie in two batches of
+    which only the first was written; `read_feed_sink` counts it once.  Right when the feed
+    lands in version order, as a feed does; for other arrival orders use a version-guarded
+    state, which may read everything again.
     """
-    mark = high_water_mark(read_batches(spark, job.sink)).first()["high_water_mark"]
+    mark = high_water_mark(read_feed_sink(spark, job.sink)).first()["high_water_mark"]
     next_job = job.recovered()
-    stream = stream_changes(spark, source, schema, mark + 1, files_per_batch)
+    stream = stream_changes(spark, source, schema, mark, files_per_batch)
     append_available(stream, next_job, columns)
     return next_job
 
@@ -68,22 +76,44 @@ def stream_history(
     job: Job,
     expectation: tuple[str, Column] | None = None,
     at: Column | None = None,
-) -> None:
-    """Keep every change row with capture time and date partition.
+    grain: str = "day",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep every change row with capture time and date partition, of a day or a month.
 
     A batch keeps the columns it came with; `read_batches` reads all of them
-    under the union, so a new source column needs no rewrite.
+    under the union, so a new source column needs no rewrite.  What an expectation
+    drops is counted per batch while the batch is written, see `read_drops`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch if expectation is None else expect_or_drop(batch, *expectation)
-        rows = history_rows(rows, at).hint("rebalance", COMMIT_DATE)
+        counted = Observation(f"drops-{job.generation}-{batch_id}-{uuid4().hex}")
+        rows = batch if expectation is None else expect_or_drop(batch, *expectation, counted)
+        rows = history_rows(rows, at, grain).hint("rebalance", COMMIT_DATE)
         rows.write.mode("overwrite").partitionBy(COMMIT_DATE).parquet(job.folder(batch_id))
+        if expectation is not None:
+            name = expectation[0]
+            report = batch.sparkSession.range(1).select(
+                F.lit(name).alias("expectation"),
+                F.lit(counted.get[f"{name}_dropped"]).cast("bigint").alias("dropped"),
+            )
+            report.write.mode("overwrite").parquet(Job(_drops(job.sink), "", job.generation).folder(batch_id))
+
+    return run(stream, job, write, every)
+
 
-    run_available(stream, job, write)
+def _drops(sink: str) -> str:
+    return f"{sink.rstrip('/')}_drops"
 
 
-def stream_apply_scd1(stream: DataFrame, job: Job, keys: Sequence[str]) -> None:
+def read_drops(spark: SparkSession, sink: str) -> DataFrame:
+    """Rows that each expectation of a `stream_history` sink has dropped, over all batches."""
+    return read_batches(spark, _drops(sink)).groupBy("expectation").agg(F.sum("dropped").alias("dropped"))
+
+
+def stream_apply_scd1(
+    stream: DataFrame, job: Job, keys: Sequence[str], every: str | None = None
+) -> StreamingQuery:
     """Fold every batch to one row per key and store it as state rows of that batch.
 
     A batch writes as much as it changed.  `read_state` folds all batches by version,
@@ -93,7 +123,7 @@ def stream_apply_scd1(stream: DataFrame, job: Job, keys: Sequence[str]) -> None:
     def write(batch: DataFrame, batch_id: int) -> None:
         fold_feed(batch, keys).write.mode("overwrite").parquet(job.folder(batch_id))
 
-    run_available(stream, job, write)
+    return run(stream, job, write, every)
 
 
 def read_state(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
@@ -102,41 +132,60 @@ def read_state(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame
 
 
 def compact_state(spark: SparkSession, sink: str, keys: Sequence[str], job: Job) -> None:
-    """Write the folded state as batch 0 of another sink, where the stream goes on."""
-    read_state(spark, sink, keys).write.mode("overwrite").parquet(job.folder(0))
+    """Write the folded state to another sink, where the stream may go on under any checkpoint.
+
+    It lies in run 0, which no stream writes; later batches fold over it by version.
+    """
+    start = Job(job.sink, job.checkpoints, generation=0)
+    read_state(spark, sink, keys).write.mode("overwrite").parquet(start.folder(0))
 
 
 def stream_metrics(
-    stream: DataFrame, job: Job, group: Sequence[str], measures: Mapping[str, str]
-) -> None:
+    stream: DataFrame,
+    job: Job,
+    group: Sequence[str],
+    measures: Mapping[str, str],
+    every: str | None = None,
+) -> StreamingQuery:
     """Store the signed change of the metrics per batch; no state is kept in the stream.
 
-    The sum over all batches is the metric of the live table, see `read_metrics`.
+    The sum over all batches is the metric of the live table, see `read_metrics`.  After a
+    lost checkpoint, the recovered job must read the feed from its start.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         signed_aggregate(batch, group, measures).write.mode("overwrite").parquet(job.folder(batch_id))
 
-    run_available(stream, job, write)
+    return run(stream, job, write, every)
 
 
 def read_metrics(spark: SparkSession, sink: str, group: Sequence[str]) -> DataFrame:
-    """The metrics of a `stream_metrics` sink."""
-    return add_aggregates(read_batches(spark, sink), group)
+    """The metrics of a `stream_metrics` sink: those of its newest run, which has seen every change once."""
+    parts = read_batches(spark, sink, keep=[RUN])
+    newest = parts.agg(F.max(RUN)).scalar()
+    return add_aggregates(parts.where(F.col(RUN) == newest).drop(RUN), group)
 
 
-def fan_out(stream: DataFrame, history: Job, deletes: Job, keys: Sequence[str], at: Column | None = None) -> None:
-    """One feed to two sinks, history and soft deletes, with one read per batch."""
+def fan_out(
+    stream: DataFrame,
+    history: Job,
+    deletes: Job,
+    keys: Sequence[str],
+    at: Column | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """One feed to two sinks, history by date and soft deletes, with one read per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            history_rows(batch, at).write.mode("overwrite").parquet(history.folder(batch_id))
+            kept = history_rows(batch, at).hint("rebalance", COMMIT_DATE)
+            kept.write.mode("overwrite").partitionBy(COMMIT_DATE).parquet(history.folder(batch_id))
             tombstones(batch, keys).write.mode("overwrite").parquet(deletes.folder(batch_id))
         finally:
             batch.unpersist()
 
-    run_available(stream, history, write)
+    return run(stream, history, write, every)
 
 
 def read_live(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:

@@ -21,12 +21,13 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from changeflow.functions.ordered import KeyOrder
 from changeflow.operators.scd import Scd2, affected_keys, close_intervals, mark_unchanged, range_columns
 from changeflow.sources.storage import shared_folder
-from changeflow.streaming.sinks import BATCH, RUN, Job, batch_stamp, read_batches, run_available, stamp_of
+from changeflow.streaming.sinks import BATCH, RUN, Job, batch_stamp, read_batches, run, stamp_of
 
 EVENTS, TIPS, POINTS = "events", "tips", "points"
 BUCKET, GONE, KEPT = "key_bucket", "gone", "kept"
@@ -34,15 +35,20 @@ BUCKETS = 256
 
 
 def stream_apply_scd2(
-    stream: DataFrame, job: Job, spec: Scd2, buckets: int = BUCKETS, on_ties: str = "raise"
-) -> None:
+    stream: DataFrame,
+    job: Job,
+    spec: Scd2,
+    buckets: int = BUCKETS,
+    on_ties: str = "raise",
+    every: str | None = None,
+) -> StreamingQuery:
     """Keep the dimension up to date with everything the stream has now; see `read_dim2`."""
     shared_folder(stream.sparkSession)  # late keys are checkpointed there
 
     def write(batch: DataFrame, batch_id: int) -> None:
         _apply_batch(batch, batch_id, job, spec, buckets, on_ties)
 
-    run_available(stream, job, write)
+    return run(stream, job, write, every)
 
 
 def read_dim2(spark: SparkSession, sink: str, stream_schema: StructType, spec: Scd2) -> DataFrame:
@@ -140,8 +146,10 @@ def _tips_before(
     """The tips of some buckets as the batches before this one left them."""
     try:
         tips = read_batches(spark, f"{job.sink}/{TIPS}", keep=[RUN, BATCH], schema=schema)
-    except AnalysisException:  # the first batch: no such folder yet
-        return spark.createDataFrame([], schema)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # the first batch: no such folder yet
     tips = tips.where(F.col(BUCKET).isin(*buckets) & (batch_stamp() < stamp_of(job.generation, batch_id)))
     # One row per bucket: where its latest tips are.
     newest = tips.groupBy(BUCKET).agg(F.max(F.struct(RUN, BATCH)).alias("at")).collect()

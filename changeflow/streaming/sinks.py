@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from changeflow.contracts import COMMIT_VERSION
+
 RUN, BATCH = "run", "batch_id"
 
 
@@ -62,11 +64,18 @@ def start(
     return writer.trigger(**trigger).start()
 
 
-def run_available(
-    stream: DataFrame, job: Job, each_batch: Callable[[DataFrame, int], None], mode: str = "append"
-) -> None:
-    """Process what is there now, then return."""
-    start(stream, job, each_batch, mode=mode).awaitTermination()
+def run(
+    stream: DataFrame,
+    job: Job,
+    each_batch: Callable[[DataFrame, int], None],
+    every: str | None = None,
+    mode: str = "append",
+) -> StreamingQuery:
+    """Process what is there now and return when it is done; with an interval, return the running query."""
+    query = start(stream, job, each_batch, every, mode)
+    if every is None:
+        query.awaitTermination()
+    return query
 
 
 def read_batches(
@@ -74,20 +83,36 @@ def read_batches(
     path: str,
     keep: Sequence[str] = (),
     schema: StructType | None = None,
-    widen: bool = False,
 ) -> DataFrame:
     """All batch folders of a sink; `keep` names the batch columns to leave in.
 
-    `widen` reads under the union of all columns, which opens every file footer;
-    a declared schema opens none.
+    A declared schema opens no file.  Without one the folders are read under the union of
+    their columns, which opens every footer, so that a column that came later is not lost.
     """
-    reader = spark.read.option("mergeSchema", str(widen).lower())
+    reader = spark.read.option("mergeSchema", str(schema is None).lower())
     if schema is not None:
         stamp = [StructField(RUN, IntegerType()), StructField(BATCH, LongType())]
         reader = reader.schema(StructType([*schema.fields, *stamp]))
     return reader.parquet(path).drop(*[c for c in (RUN, BATCH) if c not in keep])
 
 
+def read_feed_sink(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The change rows of a sink, also after recoveries.
+
+    A recovery reads again from the last version that the sink held, since a lost run may have
+    got half of it: from its first version on, a later run replaces what earlier runs wrote.
+    """
+    rows = read_batches(spark, path, keep=[RUN], schema=schema)
+    # One row per checkpoint: few.
+    starts = rows.groupBy(RUN).agg(F.min(COMMIT_VERSION).alias("from"))
+    later = Window.orderBy(F.col(RUN).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    limits = starts.select(F.col(RUN).alias("of_run"), F.min("from").over(later).alias("until"))
+    held = rows.join(limits, F.col(RUN) == F.col("of_run"))
+    return held.where(F.col("until").isNull() | (F.col(COMMIT_VERSION) < F.col("until"))).drop(
+        RUN, "of_run", "until"
+    )
+
+
 _BATCHES_PER_RUN = 1 << 40
 
 

@@ -7,58 +7,58 @@ from changeflow.operators import changes, history, scd
 from changeflow.sources.samples import seed_feed
 from changeflow.sources.storage import new_folder, shared_folder
 
-KEYS = ["customer_id"]
+KEYS = ["machine_id"]
 
 
 def test_history_of_the_fixture(spark):
     rows = history.history_rows(seed_feed(spark), F.lit(datetime(2026, 3, 1)))
     assert rows.count() == 7
-    assert rows.where("customer_id = 2002").count() == 4
-    assert {r["commit_date"] for r in rows.where("_commit_version = 2").collect()} == {date(2026, 1, 3)}
+    assert rows.where("machine_id = 42").count() == 4
+    assert {r["commit_date"] for r in rows.where("_commit_version = 2").collect()} == {date(2025, 5, 14)}
 
 
 def test_scd2_effect_drops_the_untracked_update(spark):
-    kept = changes.scd2_effect(seed_feed(spark), KEYS, ["segment"])
-    got = sorted((r["customer_id"], r["_change_type"]) for r in kept.collect())
-    assert got == [(2001, "insert"), (2001, "update_postimage"), (2002, "delete"), (2002, "insert")]
+    kept = changes.scd2_effect(seed_feed(spark), KEYS, ["site"])
+    got = sorted((r["machine_id"], r["_change_type"]) for r in kept.collect())
+    assert got == [(41, "insert"), (41, "update_postimage"), (42, "delete"), (42, "insert")]
 
 
 def test_changed_columns(spark):
-    got = {(r["customer_id"], tuple(r["changed"])) for r in changes.changed_columns(seed_feed(spark), KEYS).collect()}
-    assert got == {(2001, ("segment",)), (2002, ("internal_note",))}
+    got = {(r["machine_id"], tuple(r["changed"])) for r in changes.changed_columns(seed_feed(spark), KEYS).collect()}
+    assert got == {(41, ("site",)), (42, ("remark",))}
 
 
 def test_widening_keeps_old_rows_null_and_refuses_a_new_type(spark):
     old = seed_feed(spark)
-    wide = history.widen_and_append(old, old.withColumn("loyalty_tier", F.lit("gold")))
-    assert wide.columns[-1] == "loyalty_tier"
-    assert wide.where("loyalty_tier IS NULL").count() == 7
-    with pytest.raises(ValueError, match="segment is string"):
-        history.widen_and_append(old, old.withColumn("segment", F.lit(1)))
+    wide = history.widen_and_append(old, old.withColumn("warranty", F.lit("gold")))
+    assert wide.columns[-1] == "warranty"
+    assert wide.where("warranty IS NULL").count() == 7
+    with pytest.raises(ValueError, match="site is string"):
+        history.widen_and_append(old, old.withColumn("site", F.lit(1)))
 
 
 def test_widened_files_are_read_under_all_columns(spark):
     path = new_folder(spark, "widened")
     old = seed_feed(spark)
     history.append_widening(old, path)
-    history.append_widening(old.withColumn("loyalty_tier", F.lit("gold")), path)
+    history.append_widening(old.withColumn("warranty", F.lit("gold")), path)
     got = history.read_widened(spark, path)
-    assert got.count() == 14 and got.where("loyalty_tier = 'gold'").count() == 7
+    assert got.count() == 14 and got.where("warranty = 'gold'").count() == 7
 
 
 def test_audit_reads_only_its_dates(spark):
     path = new_folder(spark, "audit")
     history.write_partitioned_history(seed_feed(spark), path, KEYS)
-    found = history.history_audit(spark.read.parquet(path), date(2026, 1, 3), date(2026, 1, 4), customer_id=2001)
+    found = history.history_audit(spark.read.parquet(path), date(2025, 5, 14), date(2025, 5, 15), machine_id=41)
     assert [r["_change_type"] for r in found.collect()] == ["update_preimage", "update_postimage"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(commit_date" in plan
-    assert "PushedFilters: [IsNotNull(customer_id), EqualTo(customer_id,2001)]" in plan
+    assert "PushedFilters: [IsNotNull(machine_id), EqualTo(machine_id,41)]" in plan
 
 
 def test_monthly_partitions(spark):
     months = history.with_commit_date(seed_feed(spark), "month").select("commit_date").distinct().collect()
-    assert [r[0] for r in months] == [date(2026, 1, 1)]
+    assert [r[0] for r in months] == [date(2025, 5, 1)]
 
 
 def test_append_only_audit_counts_copies(spark):
@@ -72,18 +72,18 @@ def test_append_only_audit_counts_copies(spark):
 
 def test_history_beside_dimension(spark):
     feed = seed_feed(spark)
-    spec = scd.Scd2(KEYS, ["_commit_version"], ["segment"], "_change_type = 'delete'")
+    spec = scd.Scd2(KEYS, ["_commit_version"], ["site"], "_change_type = 'delete'")
     dim = scd.apply_changes_scd2(feed, spec)
-    got = {r["customer_id"]: (r["history_events"], r["dimension_rows"]) for r in history.history_vs_scd2(feed, dim, KEYS).collect()}
-    assert got == {2001: (3, 2), 2002: (4, 1)}
+    got = {r["machine_id"]: (r["history_events"], r["dimension_rows"]) for r in history.history_vs_scd2(feed, dim, KEYS).collect()}
+    assert got == {41: (3, 2), 42: (4, 1)}
 
 
 def test_busy_days_ask_for_months(spark):
     advice = history.retention_profile(seed_feed(spark), busy_day=1).select("advice").distinct().collect()
     assert [r[0] for r in advice] == ["monthly"]
     profile = {(r["grain"], str(r["period"])): (r["rows"], r["rows_so_far"]) for r in history.retention_profile(seed_feed(spark)).collect()}
-    assert profile[("month", "2026-01-01")] == (7, 7)
-    assert profile[("day", "2026-01-04")] == (2, 6)
+    assert profile[("month", "2025-05-01")] == (7, 7)
+    assert profile[("day", "2025-05-15")] == (2, 6)
 
 
 def test_snapshot_with_another_schema(spark):

@@ -37,39 +37,39 @@ def stored(spark):
 
 
 def test_dimension_is_one_exchange_and_one_sort(stored):
-    spec = scd.Scd2(["customer_id"], ["updated_at", "_commit_version"], ["segment"], "operation = 'DELETE'")
+    spec = scd.Scd2(["machine_id"], ["updated_at", "_commit_version"], ["site"], "operation = 'DELETE'")
     dim = scd.apply_changes_scd2(stored[0], spec)
     assert exchanges(dim) == 1
     assert plan_of(dim).count("Sort [") == 1
     # The untracked name is not read.
-    assert "ReadSchema: struct<customer_id:bigint,segment:string,operation:string,updated_at" in plan_of(dim)
+    assert "ReadSchema: struct<machine_id:bigint,site:string,operation:string,updated_at" in plan_of(dim)
 
 
 def test_folds_are_one_exchange_with_map_side_combine(stored):
     feed = stored[1]
     for df in (
-        state.fold_feed(feed, ["customer_id"]),
-        changes.latest_by_key(feed, ["customer_id"]),
-        changes.pair_images(feed, ["customer_id"]),
-        changes.incremental_aggregate(feed, ["segment"], {"total": "customer_id"}),
+        state.fold_feed(feed, ["machine_id"]),
+        changes.latest_by_key(feed, ["machine_id"]),
+        changes.pair_images(feed, ["machine_id"]),
+        changes.incremental_aggregate(feed, ["site"], {"total": "machine_id"}),
     ):
         assert exchanges(df) == 1
         assert "partial_" in plan_of(df)
 
 
 def test_row_number_is_limited_before_the_exchange(stored):
-    plan = plan_of(changes.dedupe_latest(stored[1], ["customer_id"]))
+    plan = plan_of(changes.dedupe_latest(stored[1], ["machine_id"]))
     assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning")[1]
 
 
 def test_apply_shuffles_state_and_batch_once(stored):
     feed = stored[1]
     path = new_folder(feed.sparkSession, "plan-state")
-    state.fold_feed(feed, ["customer_id"]).write.parquet(path)
+    state.fold_feed(feed, ["machine_id"]).write.parquet(path)
     held = feed.sparkSession.read.parquet(path)
-    assert exchanges(state.apply_changes_scd1(held, feed, ["customer_id"])) == 1
+    assert exchanges(state.apply_changes_scd1(held, feed, ["machine_id"])) == 1
 
 
 def test_change_types_reach_the_scan(stored):
-    rows = changes.filter_change_type(stored[1], ["insert", "delete"]).select("customer_id", F.lit(1))
+    rows = changes.filter_change_type(stored[1], ["insert", "delete"]).select("machine_id", F.lit(1))
     assert "PushedFilters: [In(_change_type, [delete,insert])]" in plan_of(rows)

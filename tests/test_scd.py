@@ -7,35 +7,38 @@ from changeflow.operators import scd
 from changeflow.sources.samples import seed_cdc
 
 SPEC = scd.Scd2(
-    keys=["customer_id"],
+    keys=["machine_id"],
     sequence=["updated_at", "_commit_version"],
-    track=["name", "segment"],
+    track=["model", "site"],
     deletes="operation = 'DELETE'",
 )
-NINE = datetime(2026, 1, 1, 9)
+BEGIN = datetime(2025, 5, 12, 6)
 
 
 def hour(h):
-    return NINE + timedelta(hours=h)
+    return BEGIN + timedelta(hours=h)
 
 
 def ranges(dim):
-    return sorted(
-        (r["customer_id"], r["segment"], r["__START_AT"], r["__START_VERSION"], r["__END_AT"], r["__END_VERSION"])
+    return [
+        (r["machine_id"], r["site"], r["__START_AT"], r["__START_VERSION"], r["__END_AT"], r["__END_VERSION"])
         for r in dim.collect()
-    )
+    ]
 
 
 GOLDEN = sorted(
     [
-        (1001, "SMB", hour(0), 1, hour(1), 2),
-        (1001, "Mid-Market", hour(1), 2, None, None),
-        (1002, "SMB", hour(0), 3, hour(2), 4),
-        (1002, "Enterprise", hour(2), 4, hour(2), 5),
-        (1002, "Mid-Market", hour(2), 5, None, None),
-        (1003, "SMB", hour(0), 6, hour(3), 8),
-        (1003, "Mid-Market", hour(3), 8, None, None),
-        (1004, "SMB", hour(0), 9, hour(4), 10),
+        (71, "Lima", hour(0.5), 2, hour(2), 6),
+        (71, "Bonn", hour(8), 10, None, None),
+        (72, "Oslo", hour(2.25), 12, None, None),
+        (73, "Oslo", hour(0.25), 1, hour(4.5), 5),
+        (73, "Bonn", hour(4.5), 5, hour(6), 3),
+        (73, "Cork", hour(6), 3, None, None),
+        (74, "Lima", hour(3), 7, hour(7), 8),
+        (74, "Oslo", hour(7), 8, hour(7), 9),
+        (74, "Cork", hour(7), 9, None, None),
+        (75, None, hour(1), 4, hour(9), 11),
+        (75, "Lima", hour(9), 11, None, None),
     ],
     key=repr,
 )
@@ -44,7 +47,7 @@ GOLDEN = sorted(
 def test_golden_dimension(spark):
     dim = scd.apply_changes_scd2(seed_cdc(spark), SPEC)
     assert sorted(ranges(dim), key=repr) == GOLDEN
-    assert scd.duplicate_current(dim, ["customer_id"], F.col("__END_AT").isNull()).isEmpty()
+    assert scd.duplicate_current(dim, ["machine_id"], F.col("__END_AT").isNull()).isEmpty()
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -54,14 +57,14 @@ def test_arrival_order_does_not_matter(spark, seed):
 
 
 def test_tied_sequence_raises(spark):
-    plain = scd.Scd2(["customer_id"], ["updated_at"], ["name", "segment"], SPEC.deletes)
+    plain = scd.Scd2(["machine_id"], ["updated_at"], ["model", "site"], SPEC.deletes)
     with pytest.raises(Exception, match="NULL or tied"):
         scd.apply_changes_scd2(seed_cdc(spark), plain).collect()
-    assert scd.apply_changes_scd2(seed_cdc(spark), plain, on_ties="allow").count() == 8
+    assert scd.apply_changes_scd2(seed_cdc(spark), plain, on_ties="allow").count() == 11
 
 
 def test_null_sequence_raises(spark):
-    raw = seed_cdc(spark).withColumn("updated_at", F.when(F.col("customer_id") != 1001, F.col("updated_at")))
+    raw = seed_cdc(spark).withColumn("updated_at", F.when(F.col("machine_id") != 72, F.col("updated_at")))
     with pytest.raises(Exception, match="NULL or tied"):
         scd.apply_changes_scd2(raw, SPEC).collect()
 
@@ -71,77 +74,76 @@ def test_tracking_the_version_makes_every_event_a_version(spark):
     everything = SPEC.track_all_except(raw.columns, ["operation", "updated_at"])
     assert "_commit_version" in everything.track
     dim = scd.apply_changes_scd2(raw, everything)
-    assert dim.where("customer_id = 1003").count() == 3
+    assert dim.where("machine_id = 73").count() == 3
     reviewed = SPEC.track_all_except(raw.columns, ["operation", "updated_at", "_commit_version"])
-    assert scd.apply_changes_scd2(raw, reviewed).count() == 8
+    assert scd.apply_changes_scd2(raw, reviewed).count() == 11
 
 
 def test_null_to_value_is_a_version(spark):
     raw = spark.createDataFrame(
-        [(1, None, "INSERT", NINE, 1), (1, "A", "UPDATE", hour(1), 2), (1, None, "UPDATE", hour(2), 3)],
-        "customer_id bigint, segment string, operation string, updated_at timestamp, _commit_version bigint",
+        [(1, None, "INSERT", BEGIN, 1), (1, "A", "UPDATE", hour(1), 2), (1, None, "UPDATE", hour(2), 3)],
+        "machine_id bigint, site string, operation string, updated_at timestamp, _commit_version bigint",
     )
-    spec = scd.Scd2(["customer_id"], SPEC.sequence, ["segment"], SPEC.deletes)
-    assert [r["segment"] for r in scd.apply_changes_scd2(raw, spec).orderBy("__START_AT").collect()] == [None, "A", None]
+    spec = scd.Scd2(["machine_id"], SPEC.sequence, ["site"], SPEC.deletes)
+    assert [r["site"] for r in scd.apply_changes_scd2(raw, spec).orderBy("__START_AT").collect()] == [None, "A", None]
 
 
 def test_carried_columns_come_from_the_opening_event(spark):
-    spec = scd.Scd2(["customer_id"], SPEC.sequence, ["segment"], SPEC.deletes, carry=["operation"])
+    spec = scd.Scd2(["machine_id"], SPEC.sequence, ["site"], SPEC.deletes, carry=["operation"])
     dim = scd.apply_changes_scd2(seed_cdc(spark), spec)
-    assert {r["operation"] for r in dim.where("customer_id = 1003").collect()} == {"INSERT", "UPDATE"}
+    assert {r["operation"] for r in dim.where("machine_id = 73").collect()} == {"INSERT", "UPDATE"}
 
 
 def empty_dim(spark):
     return spark.createDataFrame(
         [],
-        "customer_id bigint, name string, segment string, start_date timestamp, end_date timestamp, is_current boolean",
+        "machine_id bigint, model string, site string, start_date timestamp, end_date timestamp, is_current boolean",
     )
 
 
 def test_manual_step_on_an_empty_dimension_duplicates(spark):
-    dim = scd.scd2_step(empty_dim(spark), seed_cdc(spark), SPEC)
-    current = dict(dim.where("is_current").groupBy("customer_id").count().collect())
-    assert current == {1001: 2, 1002: 3, 1003: 3}
+    dim = scd.scd2_step(empty_dim(spark), seed_cdc(spark).where("_commit_version NOT IN (10, 13)"), SPEC)
+    current = dict(dim.where("is_current").groupBy("machine_id").count().collect())
+    assert current == {72: 1, 73: 3, 74: 3, 75: 2}
     closed = dim.where("NOT is_current").collect()
-    assert [(r["customer_id"], r["end_date"]) for r in closed] == [(1004, hour(4))]
-    twice = scd.duplicate_current(dim, ["customer_id"], F.col("is_current"))
-    assert {r["customer_id"] for r in twice.collect()} == {1001, 1002, 1003}
+    assert [(r["machine_id"], r["end_date"]) for r in closed] == [(71, hour(2))]
+    twice = scd.duplicate_current(dim, ["machine_id"], F.col("is_current"))
+    assert {r["machine_id"] for r in twice.collect()} == {73, 74, 75}
 
 
 def test_manual_step_with_one_change_per_key(spark):
     raw = seed_cdc(spark)
-    first = scd.scd2_step(empty_dim(spark), raw.where("_commit_version IN (1, 3, 6, 9)"), SPEC)
-    second = scd.scd2_step(first, raw.where("_commit_version IN (2, 5, 7, 10)"), SPEC)
-    rows = {(r["customer_id"], r["segment"], r["is_current"]) for r in second.collect()}
+    first = scd.scd2_step(empty_dim(spark), raw.where("_commit_version IN (1, 2, 4, 7, 12)"), SPEC)
+    second = scd.scd2_step(first, raw.where("_commit_version IN (3, 6, 9, 11)"), SPEC)
+    rows = {(r["machine_id"], r["site"], r["is_current"]) for r in second.collect()}
     assert rows == {
-        (1001, "SMB", False),
-        (1001, "Mid-Market", True),
-        (1002, "SMB", False),
-        (1002, "Mid-Market", True),
-        (1003, "SMB", True),
-        (1004, "SMB", False),
+        (71, "Lima", False),
+        (72, "Oslo", True),
+        (73, "Oslo", False),
+        (73, "Cork", True),
+        (74, "Lima", False),
+        (74, "Cork", True),
+        (75, None, False),
+        (75, "Lima", True),
     }
 
 
 def test_ties_and_regressions(spark):
     raw = seed_cdc(spark)
-    ties = scd.sequence_ties(raw, ["customer_id"], ["updated_at"]).collect()
-    assert [(r["customer_id"], r["events"]) for r in ties] == [(1002, 2)]
-    assert scd.sequence_ties(raw, ["customer_id"], SPEC.sequence).isEmpty()
-    moved = raw.withColumn(
-        "_commit_version", F.when(F.col("_commit_version") == 7, 9).otherwise(F.col("_commit_version"))
-    )
-    late = scd.sequence_regressions(moved, ["customer_id"], "updated_at", "_commit_version").collect()
-    assert [(r["customer_id"], r["updated_at"]) for r in late] == [(1003, hour(1.5))]
+    ties = scd.sequence_ties(raw, ["machine_id"], ["updated_at"]).collect()
+    assert [(r["machine_id"], r["events"]) for r in ties] == [(74, 2)]
+    assert scd.sequence_ties(raw, ["machine_id"], SPEC.sequence).isEmpty()
+    late = scd.sequence_regressions(raw, ["machine_id"], "updated_at", "_commit_version").collect()
+    assert [(r["machine_id"], r["updated_at"]) for r in late] == [(73, hour(4.5))]
 
 
 def test_late_event_needs_the_suppressed_one(spark):
     """A@1, A@3 (suppressed), late B@2: a full rebuild finds A, B, A."""
-    columns = "customer_id bigint, segment string, operation string, updated_at timestamp, _commit_version bigint"
+    columns = "machine_id bigint, site string, operation string, updated_at timestamp, _commit_version bigint"
     rows = [(1, "A", "INSERT", hour(1), 1), (1, "A", "UPDATE", hour(3), 2), (1, "B", "UPDATE", hour(2), 3)]
-    spec = scd.Scd2(["customer_id"], SPEC.sequence, ["segment"], SPEC.deletes)
+    spec = scd.Scd2(["machine_id"], SPEC.sequence, ["site"], SPEC.deletes)
     dim = scd.apply_changes_scd2(spark.createDataFrame(rows, columns), spec)
-    assert [r["segment"] for r in dim.orderBy("__START_AT").collect()] == ["A", "B", "A"]
+    assert [r["site"] for r in dim.orderBy("__START_AT").collect()] == ["A", "B", "A"]
 
 
 def test_intervals_of_a_key_do_not_overlap(spark, sf_dir):
@@ -157,12 +159,12 @@ def test_intervals_of_a_key_do_not_overlap(spark, sf_dir):
 def test_as_of_ignores_empty_ranges_and_gaps(spark):
     dim = scd.apply_changes_scd2(seed_cdc(spark), SPEC)
     facts = spark.createDataFrame(
-        [(1, 1002, hour(1)), (2, 1002, hour(2)), (3, 1004, hour(4)), (4, 1004, hour(0)), (5, 1001, hour(-1)), (6, 9, NINE)],
-        "fact bigint, customer_id bigint, at_time timestamp",
+        [(1, 74, hour(4)), (2, 74, hour(7)), (3, 71, hour(2)), (4, 71, hour(0.5)), (5, 73, hour(-1)), (6, 9, BEGIN)],
+        "fact bigint, machine_id bigint, at_time timestamp",
     )
-    got = scd.as_of_dimension(facts, dim, ["customer_id"], "at_time", ["segment"])
-    assert {r["fact"]: r["dim_segment"] for r in got.collect()} == {
-        1: "SMB", 2: "Mid-Market", 3: None, 4: "SMB", 5: None, 6: None,
+    got = scd.as_of_dimension(facts, dim, ["machine_id"], "at_time", ["site"])
+    assert {r["fact"]: r["dim_site"] for r in got.collect()} == {
+        1: "Lima", 2: "Cork", 3: None, 4: "Lima", 5: None, 6: None,
     }
 
 
@@ -183,7 +185,7 @@ def test_as_of_equals_brute_force(spark, sf_dir):
 
 
 def test_normalize_by_version_range(spark):
-    raw = spark.createDataFrame([(2001, 100), (2001, 101)], "k bigint, _commit_version bigint").withColumn(
+    raw = spark.createDataFrame([(41, 100), (41, 101)], "k bigint, _commit_version bigint").withColumn(
         "at", F.lit("2021-06-01 09:00:00").cast("timestamp_ntz")
     )
     fixed = scd.normalize_sequence(raw, "at", "_commit_version", [scd.VersionZone(0, 100, "Australia/Brisbane")])
@@ -198,4 +200,4 @@ def test_zone_offsets_are_read_from_text(spark):
 
 def test_backfill_drift_is_empty_for_equal_dimensions(spark):
     dim = scd.apply_changes_scd2(seed_cdc(spark), SPEC)
-    assert scd.backfill_drift(dim, dim, ["customer_id"], "__START_VERSION", "__START_AT").isEmpty()
+    assert scd.backfill_drift(dim, dim, ["machine_id"], "__START_VERSION", "__START_AT").isEmpty()

@@ -130,14 +130,14 @@ def test_snapshot_diff_sees_deletes_and_nulls(spark):
 
 def test_snapshot_plus_later_changes_is_now(spark):
     rows = seed_feed(spark)
-    early = state.fold_feed(rows.where("_commit_version <= 2"), ["customer_id"])
-    now = state.apply_changes_scd1(early, rows.where("_commit_version > 2"), ["customer_id"])
-    assert changes.reconcile(now, state.fold_feed(rows, ["customer_id"])).isEmpty()
+    early = state.fold_feed(rows.where("_commit_version <= 2"), ["machine_id"])
+    now = state.apply_changes_scd1(early, rows.where("_commit_version > 2"), ["machine_id"])
+    assert changes.reconcile(now, state.fold_feed(rows, ["machine_id"])).isEmpty()
 
 
 def test_latest_by_key_equals_dedupe(spark):
     rows = seed_feed(spark)
-    a, b = changes.latest_by_key(rows, ["customer_id"]), changes.dedupe_latest(rows, ["customer_id"])
+    a, b = changes.latest_by_key(rows, ["machine_id"]), changes.dedupe_latest(rows, ["machine_id"])
     assert changes.reconcile(a, b).isEmpty()
 
 
@@ -162,8 +162,8 @@ def test_aggregate_delta_keeps_a_sum_that_moves_at_count_zero(spark):
 
 def test_redelivered_images_pair_once(spark):
     rows = seed_feed(spark)
-    once = changes.pair_images(rows, ["customer_id"])
-    many = changes.pair_images(changes.union_changes([rows] * 3), ["customer_id"])
+    once = changes.pair_images(rows, ["machine_id"])
+    many = changes.pair_images(changes.union_changes([rows] * 3), ["machine_id"])
     assert once.count() == 2 and changes.reconcile(once, many).isEmpty()
 
 
@@ -174,7 +174,7 @@ def test_a_state_read_back_from_files_goes_on(spark):
 
     rows, held = seed_feed(spark), None
     for v in (1, 2, 3, 4):
-        base = held if held is not None else state.empty_state(spark, rows, ["customer_id"])
-        step = state.apply_changes_scd1(base, rows.where(F.col("_commit_version") == v), ["customer_id"])
+        base = held if held is not None else state.empty_state(spark, rows, ["machine_id"])
+        step = state.apply_changes_scd1(base, rows.where(F.col("_commit_version") == v), ["machine_id"])
         held = publish_snapshot(step, new_folder(spark, "state"))
-    assert changes.reconcile(held, state.fold_feed(rows, ["customer_id"])).isEmpty()
+    assert changes.reconcile(held, state.fold_feed(rows, ["machine_id"])).isEmpty()

@@ -10,8 +10,8 @@ from changeflow.sources.samples import seed_cdc, seed_feed
 from changeflow.sources.storage import new_folder
 from changeflow.streaming import consumers, dimension, sinks
 
-KEYS = ["customer_id"]
-SPEC = scd.Scd2(KEYS, ["updated_at", "_commit_version"], ["segment"], "operation = 'DELETE'")
+KEYS = ["machine_id"]
+SPEC = scd.Scd2(KEYS, ["updated_at", "_commit_version"], ["site"], "operation = 'DELETE'")
 
 
 @pytest.fixture
@@ -33,7 +33,7 @@ def test_start_is_explicit_and_not_negative(spark):
     with pytest.raises(ValueError):
         reading.stream_changes(spark, "/tmp/none", feed.schema, -1)
     with pytest.raises(ValueError, match="lacks"):
-        reading.stream_changes(spark, "/tmp/none", feed.select("segment").schema, 1)
+        reading.stream_changes(spark, "/tmp/none", feed.select("site").schema, 1)
 
 
 def test_second_run_adds_nothing_and_new_files_do(spark, job):
@@ -42,7 +42,7 @@ def test_second_run_adds_nothing_and_new_files_do(spark, job):
 
     def run():
         stream = reading.stream_changes(spark, path, feed.schema, 1)
-        return tuple(consumers.run_feed_stream(stream, job, ["customer_id"]).first())
+        return tuple(consumers.run_feed_stream(stream, job, ["machine_id"]).first())
 
     assert run() == (4, 2)
     assert run() == (4, 2)
@@ -54,11 +54,11 @@ def test_lost_checkpoint_gives_no_duplicates(spark, job):
     feed, path = seed_feed(spark), new_folder(spark, "feed")
     land(feed.where("_commit_version <= 2"), path)
     stream = reading.stream_changes(spark, path, feed.schema, 1)
-    consumers.append_available(stream, job, ["customer_id", "segment"])
+    consumers.append_available(stream, job, ["machine_id", "site"])
     land(feed.where("_commit_version > 2"), path)
-    after = consumers.recover_stream(spark, path, feed.schema, job, ["customer_id", "segment"])
+    after = consumers.recover_stream(spark, path, feed.schema, job, ["machine_id", "site"])
     assert after.checkpoint.endswith("stream_v2_recovery")
-    assert equal(sinks.read_batches(spark, job.sink), changes.project_sink(feed, ["customer_id", "segment"]))
+    assert equal(sinks.read_feed_sink(spark, job.sink), changes.project_sink(feed, ["machine_id", "site"]))
 
 
 def test_a_repeated_batch_is_written_once(spark, job):
@@ -79,18 +79,18 @@ def test_history_stream_widens(spark, job):
     at = F.lit(datetime(2026, 3, 1))
     rule = ("version", F.col("_commit_version").isNotNull())
     consumers.stream_history(reading.stream_changes(spark, path, feed.schema, 0), job, rule, at)
-    wide = feed.withColumn("loyalty_tier", F.lit("gold"))
+    wide = feed.withColumn("warranty", F.lit("gold"))
     land(wide.where("_commit_version > 2"), path)
     consumers.stream_history(reading.stream_changes(spark, path, wide.schema, 0), job, rule, at)
-    kept = sinks.read_batches(spark, job.sink, widen=True)
-    assert kept.count() == 7 and kept.where("loyalty_tier IS NULL").count() == 4
-    assert {"captured_at", "commit_date", "loyalty_tier"} <= set(kept.columns)
+    kept = sinks.read_batches(spark, job.sink)
+    assert kept.count() == 7 and kept.where("warranty IS NULL").count() == 4
+    assert {"captured_at", "commit_date", "warranty"} <= set(kept.columns)
 
 
 def test_history_stream_drops_what_breaks_the_rule(spark, job):
     feed, path = seed_feed(spark), new_folder(spark, "feed")
     land(feed, path)
-    rule = ("no_notes", F.col("internal_note") == "created")
+    rule = ("no_notes", F.col("remark") == "new")
     consumers.stream_history(reading.stream_changes(spark, path, feed.schema, 0), job, rule)
     assert sinks.read_batches(spark, job.sink).count() == 5
 
@@ -118,7 +118,7 @@ def test_scd1_stream_in_any_order_equals_the_batch(spark, job, seed):
 @pytest.mark.parametrize("seed", range(2))
 def test_scd2_stream_in_any_order_equals_the_batch(spark, job, seed):
     raw, path = seed_cdc(spark), new_folder(spark, "raw")
-    versions = list(range(1, 11))
+    versions = list(range(1, 14))
     random.Random(seed).shuffle(versions)
     for part in (versions[:3], versions[3:7], versions[7:]):
         land(raw.where(F.col("_commit_version").isin(*part)), path)
@@ -130,13 +130,13 @@ def test_scd2_stream_in_any_order_equals_the_batch(spark, job, seed):
 
 
 def test_metrics_stream_equals_the_live_table(spark, job):
-    feed = seed_feed(spark).withColumn("amount", F.col("customer_id").cast("decimal(18,0)"))
+    feed = seed_feed(spark).withColumn("amount", F.col("machine_id").cast("decimal(18,0)"))
     path = new_folder(spark, "feed")
     for v in range(1, 5):
         land(feed.where(F.col("_commit_version") == v), path)
-    consumers.stream_metrics(reading.stream_changes(spark, path, feed.schema, 0, 1), job, ["segment"], {"total": "amount"})
-    got = consumers.read_metrics(spark, job.sink, ["segment"]).collect()
-    assert [(r["segment"], r["rows"], int(r["total"])) for r in got] == [("Mid-Market", 1, 2001)]
+    consumers.stream_metrics(reading.stream_changes(spark, path, feed.schema, 0, 1), job, ["site"], {"total": "amount"})
+    got = consumers.read_metrics(spark, job.sink, ["site"]).collect()
+    assert [(r["site"], r["rows"], int(r["total"])) for r in got] == [("Bonn", 1, 41)]
 
 
 def test_fan_out_fills_both_sinks(spark, job):
@@ -147,7 +147,7 @@ def test_fan_out_fills_both_sinks(spark, job):
     consumers.fan_out(reading.stream_changes(spark, path, feed.schema, 0), job, deletes, KEYS)
     assert sinks.read_batches(spark, job.sink).count() == 7
     gone = sinks.read_batches(spark, deletes.sink).collect()
-    assert [(r["customer_id"], r["_commit_version"], r["is_deleted"]) for r in gone] == [(2002, 4, True)]
+    assert [(r["machine_id"], r["_commit_version"], r["is_deleted"]) for r in gone] == [(42, 4, True)]
 
 
 def test_rows_by_file_time(spark):
