@@ -28,9 +28,11 @@ PASSES, STEP, RATE, SCALE, SEED = 8, 64, 0.02, 256.0, 5
 #: Part of every vector that is lost in each step: n-grams of few documents, which are seldom stepped, stay small.
 DECAY = 0.003
 #: Documents that an n-gram must occur in to be learned.
-SHOWN = 3
+SHOWN = 5
+#: N-grams without a vector that every text has besides its own: what few words say counts for less.
+NEUTRAL = 100
 #: Texts that are handled in one call, in bytes.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
 THRESHOLD = 0.7
 
 
@@ -88,14 +90,14 @@ def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         at = np.repeat(begin[here] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         bucket, place = np.unique(grams[at], return_inverse=True)
         share = np.bincount(place, np.repeat(weight[lo:hi], size), len(bucket))
-        out.append((bucket, share / max(1.0, share.sum())))
+        out.append((bucket.astype(np.int32), (share / (share.sum() + NEUTRAL)).astype(np.float32)))
     return out
 
 
 def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
     """Log odds per bucket and, last, the bias; joint Adam steps on embeddings and softmax."""
     rng = np.random.default_rng(SEED)
-    bag = bags(pa.array(texts, pa.string()))
+    bag = [pair for at in range(0, len(texts), STEP) for pair in bags(pa.array(texts[at : at + STEP], pa.string()))]
     vectors = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
     bias = np.log(np.bincount(labels, minlength=2) + 1.0).astype(np.float32)
@@ -103,19 +105,23 @@ def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
     for bucket, _ in bag:
         shown[bucket] += 1
     vectors[shown < SHOWN] = 0  # n-grams of few documents say nothing about others
-    groups = [part for part in np.array_split(rng.permutation(len(bag)), max(1, len(bag) // STEP)) if len(part)]
+    count = len(bag)
+    groups = [part for part in np.array_split(rng.permutation(count), max(1, count // STEP)) if len(part)]
     batches = []
     for part in groups:
         bucket = np.concatenate([bag[i][0] for i in part])
-        share = np.concatenate([bag[i][1] for i in part]).astype(np.float32) * np.float32(SCALE)
-        row = np.repeat(np.arange(len(part)), [len(bag[i][0]) for i in part])
+        share = np.concatenate([bag[i][1] for i in part]) * np.float32(SCALE)
+        row = np.repeat(np.arange(len(part), dtype=np.int32), [len(bag[i][0]) for i in part])
+        for i in part:
+            bag[i] = None  # each bag is held once
         often = shown[bucket] >= SHOWN
         bucket, share, row = bucket[often], share[often], row[often]
         order = np.argsort(bucket, kind="stable")
         batches.append((part, bucket[order], share[order], row[order]))
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (vectors, softmax, bias)]
     t = 0
-    for _ in range(PASSES):
+    odds, kept = np.zeros(BUCKETS + 1), 0
+    for turn in range(PASSES):
         for part, bucket, share, row in batches:
             t += 1
             y = labels[part]
@@ -136,8 +142,11 @@ def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
                 _adam(vectors, slope, moments[0], t, touched)
             _adam(softmax, (mean[:, :, None] * error[:, None, :]).sum(axis=0), moments[1], t)
             _adam(bias, error.sum(axis=0), moments[2], t)
-    odds = vectors @ (softmax[:, 1] - softmax[:, 0]) * np.float32(SCALE)
-    return np.append(odds, bias[1] - bias[0]).astype(np.float32)
+            if 2 * turn >= PASSES:  # the mean over the later steps is calmer than the last
+                kept += 1
+                odds[:-1] += vectors @ (softmax[:, 1] - softmax[:, 0]) * SCALE
+                odds[-1] += bias[1] - bias[0]
+    return (odds / max(1, kept)).astype(np.float32)
 
 
 def _adam(x: np.ndarray, slope: np.ndarray, moments: list, t: int, rows: np.ndarray | slice = slice(None)) -> None:
@@ -154,7 +163,7 @@ def odds_of(texts: pa.Array, model: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0], np.cumsum(model[grams].astype(np.float64))])
     odds = np.bincount(text, weight * (sums[begin[word + 1]] - sums[begin[word]]), len(texts))
     size = np.bincount(text, weight * (begin[word + 1] - begin[word]), len(texts))
-    return odds / np.maximum(1, size) + float(model[-1])
+    return odds / (size + NEUTRAL) + float(model[-1])
 
 
 def fit(
