@@ -23,8 +23,12 @@ from changeflow.llm.common import learnable, parts
 BUCKETS, SIZES, WIDTH = 1 << 17, (3, 4, 5), 8
 #: Labelled documents of each class to learn from, on average; all if there are fewer.
 SAMPLE = {0: 3000, 1: 1500}
-#: Passes over the sample, documents per step, step size, factor on the average.
-PASSES, STEP, RATE, SCALE, SEED = 8, 64, 0.02, 256.0, 5
+#: Steps (whole passes over the sample, at least so many), documents per step, step size, factor on the average.
+STEPS, STEP, RATE, SCALE, SEED = 600, 64, 0.02, 256.0, 5
+#: Power of an n-gram's own mean square slope in the divisor of its step, of 1/2 together with the mean over all.
+OWN = 0.1
+#: Weight of the clean documents against the toxic ones.
+CLEAN = 0.7
 #: Part of every vector that is lost in each step: n-grams of few documents, which are seldom stepped, stay small.
 DECAY = 0.003
 #: Documents that an n-gram must occur in to be learned.
@@ -100,7 +104,10 @@ def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
     bag = [pair for at in range(0, len(texts), STEP) for pair in bags(pa.array(texts[at : at + STEP], pa.string()))]
     vectors = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
-    bias = np.log(np.bincount(labels, minlength=2) + 1.0).astype(np.float32)
+    # Whatever their numbers, clean documents weigh as much together as CLEAN times the toxic ones.
+    mass = np.array([CLEAN, 1.0]) / (CLEAN + 1)
+    worth = mass * len(labels) / np.maximum(1, np.bincount(labels, minlength=2))
+    bias = np.log(mass).astype(np.float32)
     shown = np.zeros(BUCKETS, np.int32)
     for bucket, _ in bag:
         shown[bucket] += 1
@@ -121,7 +128,8 @@ def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (vectors, softmax, bias)]
     t = 0
     odds, kept = np.zeros(BUCKETS + 1), 0
-    for turn in range(PASSES):
+    passes = -(-STEPS // max(1, len(batches)))
+    for turn in range(passes):
         for part, bucket, share, row in batches:
             t += 1
             y = labels[part]
@@ -132,7 +140,7 @@ def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
             score = np.exp(score - score.max(axis=1, keepdims=True))
             error = score / score.sum(axis=1, keepdims=True)
             error[np.arange(len(y)), y] -= 1
-            error /= len(y)
+            error *= (worth[y] / len(y))[:, None]
             back = (error[:, None, :] * softmax).sum(axis=2)  # of the averages
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
             if len(cuts):
@@ -142,7 +150,7 @@ def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
                 _adam(vectors, slope, moments[0], t, touched)
             _adam(softmax, (mean[:, :, None] * error[:, None, :]).sum(axis=0), moments[1], t)
             _adam(bias, error.sum(axis=0), moments[2], t)
-            if 2 * turn >= PASSES:  # the mean over the later steps is calmer than the last
+            if 2 * turn >= passes:  # the mean over the later steps is calmer than the last
                 kept += 1
                 odds[:-1] += vectors @ (softmax[:, 1] - softmax[:, 0]) * SCALE
                 odds[-1] += bias[1] - bias[0]
@@ -150,10 +158,16 @@ def train(texts: list[str], labels: np.ndarray) -> np.ndarray:
 
 
 def _adam(x: np.ndarray, slope: np.ndarray, moments: list, t: int, rows: np.ndarray | slice = slice(None)) -> None:
+    """A step along the mean slope.
+
+    Slopes are divided by their root mean square, but hardly n-gram by n-gram: those that many
+    toxic documents share have steep slopes and go far, and those of a few documents don't.
+    """
     first, second = moments
     first[rows] = 0.9 * first[rows] + 0.1 * slope
     second[rows] = 0.99 * second[rows] + 0.01 * slope * slope
-    x[rows] -= RATE * (first[rows] / (1 - 0.9**t)) / (np.sqrt(second[rows] / (1 - 0.99**t)) + 1e-8)
+    square = second[rows] / (1 - 0.99**t) + 1e-20
+    x[rows] -= RATE * (first[rows] / (1 - 0.9**t)) / (square**OWN * square.mean() ** (0.5 - OWN))
 
 
 def odds_of(texts: pa.Array, model: np.ndarray) -> np.ndarray:
