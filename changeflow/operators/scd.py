@@ -141,8 +141,13 @@ def scd2_step(dim: DataFrame, batch: DataFrame, spec: Scd2) -> DataFrame:
     rows, in that order.  It compares with the stored current row only: several
     changes of one key in a batch make several current rows, which
     `duplicate_current` shows.  `apply_changes_scd2` has no such condition.
+
+    Rows that are not current cannot change: they go around all joins.
     """
     keys, at = list(spec.keys), spec.sequence[0]
+    live = F.coalesce(F.col("is_current"), F.lit(False))
+    past = dim.where(~live).select(*keys, *spec.track, "start_date", "end_date", "is_current")
+    dim = dim.where(live)
     incoming = batch.withColumn("gone", spec.gone())
     alive, dead = incoming.where(~F.col("gone")), incoming.where("gone")
     # One closing time per key: the earliest change, and the latest delete.
@@ -157,7 +162,7 @@ def scd2_step(dim: DataFrame, batch: DataFrame, spec: Scd2) -> DataFrame:
         F.lit(True).alias("is_current"),
     )
     deleting = dead.groupBy(*keys).agg(F.max(at).alias("closed_at"))
-    return _close_current(closed.unionByName(added), deleting, spec)
+    return _close_current(closed.unionByName(added), deleting, spec).unionByName(past)
 
 
 def _close_current(dim: DataFrame, moments: DataFrame, spec: Scd2) -> DataFrame:

@@ -230,3 +230,25 @@ def test_policies_are_aimed(spark):
     policy = security.TagPolicy("p", "pii", "mask", "HR", scope="hr", applies_to=("guests",))
     for table, groups, expected in (("hr.people", ["guests"], "XXX"), ("hr.people", ["staff"], "1"), ("hrx.people", ["guests"], "1"), ("hr", ["guests"], "XXX")):
         assert security.apply_tag_policies(people, [policy], groups, table).first()["tfn"] == expected
+
+
+def test_a_step_leaves_past_rows_alone(spark):
+    columns = "k bigint, v string, start_date int, end_date int, is_current boolean"
+    dim = spark.createDataFrame([(1, "a", 1, 2, False), (1, "b", 2, None, True), (2, "x", 1, 3, False)], columns)
+    batch = spark.createDataFrame([(1, "c", "U", 5), (2, "y", "I", 6)], "k bigint, v string, op string, at int")
+    spec = scd.Scd2(["k"], ["at"], ["v"], "op = 'D'")
+    got = {tuple(r) for r in scd.scd2_step(dim, batch, spec).collect()}
+    assert got == {(1, "a", 1, 2, False), (2, "x", 1, 3, False), (1, "b", 2, 5, False), (1, "c", 5, None, True), (2, "y", 6, None, True)}
+
+
+def test_replay_finds_an_apply_that_depends_on_arrival(spark, monkeypatch):
+    feed = feed_of(spark, *[(k, "a", kind, v) for k in range(8) for kind, v in (("insert", 1), ("delete", 2), ("insert", 2))])
+    assert recovery.replay_check(feed, ["k"], [1]).isEmpty()
+    right = recovery.apply_changes_scd1
+
+    def state_wins_ties(held, batch, keys):
+        newer = batch.join(held.select(*keys, F.col("last_commit_version").alias("seen")), keys, "left")
+        return right(held, newer.where("seen IS NULL OR _commit_version > seen").drop("seen"), keys)
+
+    monkeypatch.setattr(recovery, "apply_changes_scd1", state_wins_ties)
+    assert not recovery.replay_check(feed, ["k"], [1]).isEmpty()
