@@ -11,6 +11,7 @@ they stand inside it.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -72,6 +73,7 @@ _TOKEN = re.compile(
 )
 _DECLARES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_RIGHTS = re.compile(r"©|\ball rights reserved\b|\balle rechte vorbehalten\b|\btous droits r", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -179,28 +181,21 @@ def classify(page: list[Block]) -> list[bool]:
         block.label = _alone(block)
         if marked and block.label != "bad":  # in a marked article, few stop words are no fault
             block.label = "good" if block.inside else "bad"
-    decided = [i for i, block in enumerate(page) if block.label in ("good", "bad")]
-    # Positions of the nearest decided neighbours; beyond the ends of a page lies no text.
-    before, last = [-1] * len(page), -1
-    for i, block in enumerate(page):
-        before[i] = last
-        if block.label in ("good", "bad"):
-            last = i
-    after, last = [-1] * len(page), -1
-    for i in reversed(range(len(page))):
-        after[i] = last
-        if page[i].label in ("good", "bad"):
-            last = i
+    # What stands in a declared region is no part of the text's flow: such blocks are no neighbours.
+    flow = [i for i, block in enumerate(page) if block.label in ("good", "bad") and not block.barred]
     keep = []
     for i, block in enumerate(page):
         if block.label in ("good", "bad"):
             keep.append(block.label == "good")
             continue
-        sides = {page[j].label for j in (before[i], after[i]) if j >= 0} or {"bad"}
-        if block.label == "near" or (block.tag[:1] == "h" and block.tag[1:].isdigit()):
-            keep.append("good" in sides or not decided)
+        at = bisect(flow, i)
+        before = page[flow[at - 1]].label if at else "bad"  # above the first decided block stand headers
+        after = page[flow[at]].label if at < len(flow) else before
+        heading = block.tag[:1] == "h" and block.tag[1:].isdigit()
+        if block.label == "near" or heading:
+            keep.append("good" in (before, after) or not flow)
         else:
-            keep.append(sides == {"good"})
+            keep.append(before == after == "good")
     return keep
 
 
@@ -211,6 +206,8 @@ def _alone(block: Block) -> str:
         return "bad"
     words = _WORDS.findall(block.text.lower())
     share = sum(word in STOP_WORDS for word in words) / max(1, len(words))
+    if size < LONG and not block.inside and _RIGHTS.search(block.text):
+        return "bad"
     if size < SHORT:
         return "bad" if block.linked else "short"
     if share >= MANY_STOP_WORDS:

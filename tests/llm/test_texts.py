@@ -70,7 +70,7 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_bags_by_brute_force():
-    texts = ["Bad bad words", "", None, "ab", "words of old"]
+    texts = ["Bad bad words", "", None, "ab", "words of old"]
     ends, used, begin, grams = toxicity.subwords(pa.array(texts))
     known = {}
     for text, lo, hi in zip(texts, ends, ends[1:]):
