@@ -1,7 +1,8 @@
 """Licences of texts by sentence rules.
 
-A text is cut into sentences.  Sentences are normalised (lower case, letters and digits only)
-and known ones become identifiers, in order.  The identifier sequence is matched against the
+A text is cut into sentences at punctuation, blank lines and list marks.  Sentences are normalised
+(lower case, letters and digits only) and known ones become identifiers, in order; one that is wrapped
+over lines, with or without comment leaders, is one sentence, and each line may be one, too.  The identifier sequence is matched against the
 rules in their order, longer rules first; what a rule has matched is used up.
 """
 
@@ -73,7 +74,7 @@ RULES = [
     (("CCBySaRef",), "CC-BY-SA-4.0"),
     (("CCByRef",), "CC-BY-4.0"),
 ]
-#: Where a sentence ends, and what the normal form takes for one space.
+#: Where a sentence ends in the SQL, which knows no wrapped ones, and what the normal form takes for one space.
 ENDS, OTHER = r"\n|[.!?;:]+[ \t\r\n]+", "[^a-z0-9]+"
 
 
@@ -89,8 +90,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # Texts without any of these words have no known sentence: they are not cut.
     told = F.lower(F.col(text_col).cast("string"))
     some = told.rlike("licen[sc]|permi|warrant|software|redistribut")
-    cut = F.when(some, F.split(told, ENDS)).otherwise(F.array().cast("array<string>"))
-    found = F.filter(F.transform(cut, lambda s: F.try_element_at(known, _normal(s))), lambda x: x.isNotNull())
+    seen = F.regexp_extract_all(_marked(told), F.lit(_KNOWN), F.lit(0))
+    cut = F.when(some, seen).otherwise(F.array().cast("array<string>"))
+    found = F.transform(cut, lambda s: F.try_element_at(known, F.replace(s, F.lit(" /"), F.lit(""))))
     listed = docs.select(F.col(id_col).alias("doc_id"), F.array_join(found, ",").alias("sentences"))
     rest: Column = F.concat(F.lit(","), F.regexp_replace("sentences", ",", ",,"), F.lit(","))
     rules = F.array(*(F.struct(F.lit(_wanted(x)).alias("wanted"), F.lit(name).alias("name")) for x, name in RULES))
@@ -114,12 +116,30 @@ def _wanted(sequence: tuple[str, ...]) -> str:
     return "".join(f",{x}," for x in sequence)
 
 
-def _normal(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(sentence, OTHER, " "))
+# A known sentence from one mark to another; any of its spaces may be the end of a line or a clause.  Longer ones are tried first.
+_KNOWN = r"(?<=[|/] )(?:%s)(?= [|/])" % "|".join(
+    sentence.replace(" ", "(?: /)? ") for sentence in sorted(SENTENCES, key=lambda x: (-len(x), x))
+)
+
+
+def _marked(text: Column) -> Column:
+    """Normal form of a lower-case text with | where a sentence ends and / where only a line or a clause does."""
+    steps = [
+        (r"(?md)^[^a-z0-9\n]+", ""),  # indents and comment leaders
+        (r"(?md)^(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\)[ \t]", "\n\n"),  # list marks; those with a full stop end as sentences
+        (r"[.!?][.!?;:]*[ \t\r\n]+", "\n\n"),
+        (r"[;:]+[ \t]+", "\n"),  # may stand in a sentence, or end it as a line does
+        (r"[^a-z0-9\n]+", " "),
+        (r" ?\n ?\n[\n ]*", " | "),
+        (r" ?\n ?", " / "),
+    ]
+    for pattern, by in steps:
+        text = F.regexp_replace(text, pattern, by)
+    return F.concat(F.lit("| "), F.trim(text), F.lit(" |"))
 
 
 def scan_sql() -> str:
-    """The same in SQL."""
+    """The same in SQL for texts whose known sentences stand on one line each."""
     pairs = ", ".join(f"'{sentence}': '{name}'" for sentence, name in SENTENCES.items())
     steps = [
         f"""WITH known AS (SELECT MAP {{{pairs}}} AS k),

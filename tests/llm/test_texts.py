@@ -118,6 +118,74 @@ def test_licences_by_rule(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """The MIT License
+Copyright (c) 2020 Somebody
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+%s Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+%s Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAMES = """%s Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+
+
+@pytest.mark.parametrize("leader", ["", " * ", "# ", "// ", ";; "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_licences(spark, leader, end):
+    marks = ("1.", "2.", "3.") if leader != "# " else ("(1)", "b)", "*")
+    notices = [
+        (APACHE, "ApacheRef,ApacheUse,ApacheCopy,ApacheAsIs,ApacheSee", "Apache-2.0"),
+        (MIT, "MITGrant,MITNotice,MITAsIs", "MIT"),
+        (GPL % 2, "GPL2Grant,GPLAsIs,GPLSee", "GPL-2.0-or-later"),
+        (GPL % 3, "GPL3Grant,GPLAsIs,GPLSee", "GPL-3.0-or-later"),
+        (BSD % marks[:2], "BSDGrant,BSDSource,BSDBinary", "BSD-2-Clause"),
+        ((BSD + NAMES) % marks, "BSDGrant,BSDSource,BSDBinary,BSDNames", "BSD-3-Clause"),
+        ("A heading\nReleased under the MIT License\nand more words", "MITRef", "MIT"),
+    ]
+    rows = [(i, end.join(leader + line for line in text.split("\n"))) for i, (text, _, _) in enumerate(notices)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.sentences, r.licenses, r.unmatched) for r in found] == [(a, b, "") for _, a, b in notices]
+
+
 def model(seed=0):
     rng = np.random.default_rng(seed)
     log = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
