@@ -4,8 +4,8 @@ A page is cut into blocks at block-level tags.  The first pass looks at each blo
 what stands in a region that the markup declares as navigation, advert, form, comments and the
 like is bad; else length, share of stop words and share of linked text make it good, bad,
 nearly good, poor or short.  The second pass gives the undecided blocks the label of their nearest
-decided neighbours.  Where a page marks its article, undecided blocks are decided by whether
-they stand inside it.
+decided neighbours.  Where a page marks its article and good text stands in the mark (or nowhere),
+undecided blocks are decided by whether they stand inside it; good and bad ones keep their label.
 """
 
 from __future__ import annotations
@@ -176,10 +176,13 @@ def blocks(html: str) -> list[Block]:
 
 def classify(page: list[Block]) -> list[bool]:
     """Whether each block is main text."""
-    marked = any(block.inside and not block.barred for block in page)
     for block in page:
         block.label = _alone(block)
-        if marked and block.label != "bad":  # in a marked article, few stop words are no fault
+    # An article mark counts if good text stands in it, or nowhere: articles may be teasers beside the text.
+    good = [block.inside for block in page if block.label == "good"]
+    marked = any(good) or (not good and any(block.inside and not block.barred for block in page))
+    for block in page:
+        if marked and block.label in ("near", "poor", "short"):  # in a marked article, few stop words are no fault
             block.label = "good" if block.inside else "bad"
     # What stands in a declared region is no part of the text's flow: such blocks are no neighbours.
     flow = [i for i, block in enumerate(page) if block.label in ("good", "bad") and not block.barred]

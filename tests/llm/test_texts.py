@@ -243,6 +243,15 @@ def test_main_text(wrap):
     assert html_main.main_text(PAGE % (wrap % BODY)) == TEXT
 
 
+def test_article_marks_decide_undecided_blocks_only():
+    teasers = "<article><h3><a href='/n'>Other news</a></h3><p>Read on about sundry things, short teaser with some more words behind it.</p></article>" * 3
+    found = html_main.main_text(PAGE % f"<div><p>{STORY} 1</p><p>{STORY} 2</p></div><ul>{teasers}</ul>")
+    assert f"{STORY} 1\n\n{STORY} 2" in found
+    assert "teaser" not in found
+    both = html_main.main_text(PAGE % f"<div><p>{STORY} 1</p></div><article><p>{STORY} 2</p><p>Kurz</p></article><p>Kurz 2</p>")
+    assert both == f"{STORY} 1\n\n{STORY} 2\n\nKurz"
+
+
 def test_pages(spark, sf_dir):
     rows = [(1, "u", None, 5), (2, None, "", 5), (3, "u", "<p", 5), (4, "u", "<article>a &lt;b&gt; &#233;", 5), (4, "u", "<article>a &lt;b&gt; &#233;", 5), (5, "u", "<article>" + "<p>" + "word " * 90000, 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
