@@ -48,7 +48,7 @@ BLOCKS = frozenset(
     section summary table tbody td tfoot th thead tr ul
     """.split()
 )
-OPAQUE = "script style noscript template svg math iframe object textarea select button head title canvas audio video"
+OPAQUE = "script style noscript template svg math iframe object textarea select button title canvas audio video"
 REGIONS = frozenset("nav header footer aside form menu dialog fieldset".split())
 ARTICLES = frozenset(["article", "main"])
 # Words of class, id and role that declare a region that is no article.
@@ -62,6 +62,15 @@ DECLARED = frozenset(
     search searchbox form skip skip-link contentinfo complementary banner-top
     """.split()
 )
+# What may stand beside declared words in a name of several parts ("site-header", not "no-sidebar").
+BESIDE = frozenset(
+    """
+    site main page global top bottom left right primary secondary first last inner outer wrapper wrap container box
+    block area section region zone list links link bar item items text form inline col column row mobile desktop fixed
+    """.split()
+)
+#: Regions in one another that are told apart; deeper ones belong to the last of these.
+DEEP = 64
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 _TOKEN = re.compile(
@@ -71,8 +80,8 @@ _TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_DECLARES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _RIGHTS = re.compile(r"©|\ball rights reserved\b|\balle rechte vorbehalten\b|\btous droits r", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -85,17 +94,33 @@ class Block:
     barred: bool  # in a region that is no article
     inside: bool  # in an article region
     label: str = ""
+    region: int = -1  # number of the innermost region that is no article
+
+
+def _names(value: str) -> bool:
+    """Whether a class, id or role is a declared name, or made of declared words and what may stand beside them."""
+    for name in value.lower().split():
+        if name in DECLARED:
+            return True
+        words = [x for x in re.split(r"[-_]+", name) if x and not x.isdigit()]
+        if not DECLARED.isdisjoint(words) and all(x in DECLARED or x in BESIDE for x in words):
+            return True
+    return False
 
 
 def _declared(rest: str) -> bool:
     if not rest:
         return False
-    for found in _DECLARES.finditer(rest):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        for name in value.split():
-            if name in DECLARED or not DECLARED.isdisjoint(re.split(r"[-_]+", name)):
+    for found in _ATTRIBUTE.finditer(rest):
+        name, value = found[1].lower(), found[2] or found[3] or found[4] or ""
+        if name in ("class", "id", "role"):
+            if _names(value):
                 return True
-    return _HIDDEN.search(rest) is not None
+        elif name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
+            return True
+        elif name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
 
 
 def blocks(html: str) -> list[Block]:
@@ -104,7 +129,9 @@ def blocks(html: str) -> list[Block]:
     parts: list[str] = []
     linked = links = 0
     tag = "body"
-    barred: list[list] = []  # open regions that are no article: tag, and how many of that tag are open in it
+    barred: list[list] = []  # open regions that are no article: tag, how many of that tag are open in it, number
+    parents: list[int] = []  # the region around each region
+    articles: list[int] = []  # the region around each outermost article
     inside: list[str] = []
     breaks = 0
 
@@ -112,7 +139,7 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked, parts
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, linked, tag, bool(barred), bool(inside)))
+            out.append(Block(text, linked, tag, bool(barred), bool(inside), region=barred[-1][2] if barred else -1))
         parts, linked = [], 0
 
     def add(piece: str) -> None:
@@ -149,31 +176,61 @@ def blocks(html: str) -> list[Block]:
             tag = "body" if ends else name
         if name in VOID:
             continue
+        own = next((k for k in range(len(barred) - 1, -1, -1) if barred[k][0] == name), None)
         if ends:
-            if barred and barred[-1][0] == name:
-                barred[-1][1] -= 1
-                if not barred[-1][1]:
-                    barred.pop()
+            if own is not None:
+                barred[own][1] -= 1
+                if not barred[own][1]:
+                    del barred[own:]
             elif name in ARTICLES and name in inside:
                 while inside.pop() != name:
                     pass
             continue
-        if barred:
-            if barred[-1][0] == name:
-                barred[-1][1] += 1
-        elif name in ARTICLES and not _declared(token["rest"]):
+        declared = (name in BLOCKS or name == "span") and name not in ("body", "html") and _declared(token["rest"])
+        if name in ARTICLES and not declared:
+            if not inside:
+                articles.append(barred[-1][2] if barred else -1)
             inside.append(name)
-        elif (name in REGIONS and not (name == "header" and inside)) or (
-            (name in BLOCKS or name == "span") and name not in ("body", "html") and _declared(token["rest"])
-        ):
+        elif len(barred) < DEEP and (declared or (name in REGIONS and not (name == "header" and inside))):
             if name not in BLOCKS:
                 close()
-            barred.append([name, 1])
+            parents.append(barred[-1][2] if barred else -1)
+            barred.append([name, 1, len(parents) - 1])
+            continue
+        if own is not None:
+            barred[own][1] += 1
     add(html[at:])
     close()
+    _unbar(out, parents, articles)
     return out
 
 
+def _unbar(page: list[Block], parents: list[int], articles: list[int]) -> None:
+    """Opens regions that hold the page's only article, with good text in it, or most of the good text of a page without one."""
+    if not parents or all(block.region < 0 for block in page):
+        return
+    good = [len(block.text) if _alone(block, False) == "good" else 0 for block in page]
+    within, marked = [0] * len(parents), 0
+    for block, size in zip(page, good):
+        marked += size * block.inside
+        if block.region >= 0:
+            within[block.region] += size
+    for region in range(len(parents) - 1, -1, -1):  # regions follow the regions around them
+        if parents[region] >= 0:
+            within[parents[region]] += within[region]
+    closed = [True] * len(parents)
+    if marked and len(articles) == 1:
+        region = articles[0]
+        while region >= 0:
+            closed[region], region = False, parents[region]
+    elif not any(size and block.inside and block.region < 0 for block, size in zip(page, good)):
+        closed = [2 * size <= sum(good) for size in within]
+    for region, parent in enumerate(parents):
+        closed[region] = closed[region] or (parent >= 0 and closed[parent])
+    for block in page:
+        block.barred = block.region >= 0 and closed[block.region]
+
+
 def classify(page: list[Block]) -> list[bool]:
     """Whether each block is main text."""
     for block in page:
@@ -202,10 +259,10 @@ def classify(page: list[Block]) -> list[bool]:
     return keep
 
 
-def _alone(block: Block) -> str:
-    """good, bad, near (nearly good), poor in stop words or short, by the block itself."""
+def _alone(block: Block, barring: bool = True) -> str:
+    """good, bad, near (nearly good), poor in stop words or short, by the block itself and, if barring, its region."""
     size = len(block.text)
-    if block.barred or block.linked > MOST_LINKED * size:
+    if (barring and block.barred) or block.linked > MOST_LINKED * size:
         return "bad"
     words = _WORDS.findall(block.text.lower())
     share = sum(word in STOP_WORDS for word in words) / max(1, len(words))

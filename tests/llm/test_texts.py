@@ -252,6 +252,30 @@ def test_article_marks_decide_undecided_blocks_only():
     assert both == f"{STORY} 1\n\n{STORY} 2\n\nKurz"
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<main class='no-sidebar'>%s</main>",
+        "<div class='content has-sidebar'>%s</div>",
+        "<article class='post comments-open'>%s</article>",
+        "<div class='overflow-hidden'><article>%s</article></div>",
+        "<div data-state='hidden' data-class='ad'>%s</div>",
+        "<form action='x'>%s</form>",
+        "<div class='sidebar'><div><article>%s</article></div></div>",
+    ],
+)
+def test_wrappers_bar_nothing(wrap):
+    text = f"{STORY} 1\n\n{STORY} 2\n\n{STORY} 3"
+    body = "".join(f"<p>{x}</p>" for x in text.split("\n\n"))
+    assert html_main.main_text("<head><title>T</title><meta charset=x><body>" + wrap % (body + f"<div class='ad'>{STORY}</div>")) == text
+
+
+@pytest.mark.parametrize("name", ["class='site-header'", "id=comment-list", "class='x ad_banner'", "hidden", "aria-hidden=true", "style='color:red; display: none'"])
+def test_declared_regions_are_barred(name):
+    page = f"<div><p>{STORY} 1</p><p>{STORY} 2</p></div><div {name}><p>{STORY} 3</p><div>{STORY} 4</div></div><p>{STORY} 5</p>"
+    assert html_main.main_text(page) == f"{STORY} 1\n\n{STORY} 2\n\n{STORY} 5"
+
+
 def test_pages(spark, sf_dir):
     rows = [(1, "u", None, 5), (2, None, "", 5), (3, "u", "<p", 5), (4, "u", "<article>a &lt;b&gt; &#233;", 5), (4, "u", "<article>a &lt;b&gt; &#233;", 5), (5, "u", "<article>" + "<p>" + "word " * 90000, 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
