@@ -29,7 +29,7 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id."""
+    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more): that of the smallest id."""
     return simhash.keep_first(docs)
 
 
