@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import ann, chat, embed_dedup, html_main, language, licenses, mixing, packing, simhash, toxicity
+from changeflow.llm import ann, chat, embed_dedup, filter_audit, html_main, language, licenses, mixing, packing, simhash, toxicity
 from changeflow.llm.common import held_out, table
 
 
@@ -67,6 +67,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -78,6 +82,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_filter_interactions": op11_filter_interactions,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {"op4_license_scan": licenses.scan_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op4_license_scan": licenses.scan_sql(),
+    "op11_filter_interactions": filter_audit.audit_sql(),
+}
