@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import ann, chat, embed_dedup, filter_audit, html_main, language, licenses, mixing, packing, simhash, toxicity
+from changeflow.llm import ann, chat, embed_dedup, filter_audit, html_main, language, licenses, mixing, packing, simhash, toxicity, variants
 from changeflow.llm.common import held_out, table
 
 
@@ -71,6 +71,10 @@ def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_filter_interactions": op11_filter_interactions,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
