@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import ann, chat, embed_dedup, filter_audit, html_main, language, licenses, mixing, packing, simhash, toxicity, variants
+from changeflow.llm import ann, chat, embed_dedup, filter_audit, html_main, language, licenses, mixing, packing, perplexity, simhash, toxicity, variants
 from changeflow.llm.common import held_out, table
 
 
@@ -71,6 +71,11 @@ def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *perplexity.STATS, "base_failed", "kept")
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_filter_interactions": op11_filter_interactions,
+    "op12_quality_rules": op12_quality_rules,
     "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
