@@ -784,7 +784,7 @@ def stream_apply_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = derived.raw_cdc(spark, sf_dir)
     path, job = stored_feed(spark, raw, "raw"), new_job(spark, "scd2")
     stream = reading.stream_table(spark, path, raw.schema, part_of_files(spark, 2))
-    dimension.stream_apply_scd2(stream, job, raw_spec(), buckets=8)
+    dimension.stream_apply_scd2(stream, job, raw_spec())
     return dimension.read_dim2(spark, job.sink, raw.schema, raw_spec())
 
 

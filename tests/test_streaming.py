@@ -122,10 +122,10 @@ def test_scd2_stream_in_any_order_equals_the_batch(spark, job, seed):
     random.Random(seed).shuffle(versions)
     for part in (versions[:3], versions[3:7], versions[7:]):
         land(raw.where(F.col("_commit_version").isin(*part)), path)
-        dimension.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), job, SPEC, buckets=4)
+        dimension.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), job, SPEC)
     assert equal(dimension.read_dim2(spark, job.sink, raw.schema, SPEC), scd.apply_changes_scd2(raw, SPEC))
     again = job.recovered()
-    dimension.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), again, SPEC, buckets=4)
+    dimension.stream_apply_scd2(reading.stream_table(spark, path, raw.schema), again, SPEC)
     assert equal(dimension.read_dim2(spark, job.sink, raw.schema, SPEC), scd.apply_changes_scd2(raw, SPEC))
 
 
@@ -159,3 +159,41 @@ def test_rows_by_file_time(spark):
     time.sleep(1.1)
     land(spark.range(3, 5), path)
     assert sorted(r["id"] for r in reading.rows_by_file_time(spark.read.parquet(path), since).collect()) == [3, 4]
+
+
+def test_fifty_batches_of_a_dimension_leave_one_folder_each(spark, job):
+    raw, path = seed_cdc(spark), new_folder(spark, "raw")
+    many = raw.crossJoin(spark.range(4)).select(
+        (F.col("machine_id") * 10 + F.col("id")).alias("machine_id"), *[c for c in raw.columns if c not in ("machine_id", "_commit_version")],
+        (F.col("_commit_version") * 4 + F.col("id")).alias("_commit_version"),
+    )
+    versions = [r[0] for r in many.select("_commit_version").collect()]
+    random.Random(7).shuffle(versions)
+    for n in range(0, len(versions), 13):
+        for v in versions[n : n + 13]:
+            land(many.where(F.col("_commit_version") == v), path)
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        try:
+            dimension.stream_apply_scd2(reading.stream_table(spark, path, raw.schema, files_per_batch=1), job, SPEC)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert equal(dimension.read_dim2(spark, job.sink, raw.schema, SPEC), scd.apply_changes_scd2(many, SPEC))
+    rows = sinks.read_batches(spark, job.sink, keep=["batch_id"])
+    assert rows.select("batch_id").distinct().count() == len(versions) == 52
+    # A batch writes its one event, and another row only for the event after it: never the events before.
+    assert rows.groupBy("batch_id").count().agg(F.max("count")).first()[0] <= 2
+
+
+def test_a_null_place_stops_the_dimension(spark, job):
+    raw, path = seed_cdc(spark), new_folder(spark, "raw")
+    schema = raw.withColumn("updated_at", F.col("updated_at").cast("timestamp")).schema
+    bad = raw.withColumn("updated_at", F.when(F.col("_commit_version") != 3, F.col("updated_at")))
+    land(bad, path)
+    for field in schema:
+        field.nullable = True
+    with pytest.raises(Exception, match="NULL"):
+        dimension.stream_apply_scd2(reading.stream_table(spark, path, schema), job, SPEC)
+    odd = scd.Scd2(KEYS, ["score"], ["site"], "false")
+    with pytest.raises(ValueError, match="whole number"):
+        dimension.stream_apply_scd2(reading.stream_table(spark, path, schema).withColumn("score", F.lit(1.5)), job, odd)
