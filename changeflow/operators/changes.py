@@ -16,6 +16,8 @@ from changeflow.contracts import (
     DELETE,
     FEED_COLUMNS,
     INSERT,
+    IS_DELETED,
+    LAST_VERSION,
     POSTIMAGE,
     PREIMAGE,
     change_rank,
@@ -24,6 +26,7 @@ from changeflow.contracts import (
     unknown_change,
 )
 from changeflow.functions.compare import any_differs, orderable, same
+from changeflow.operators.digest import Level, only_differing
 
 
 def filter_change_type(feed: DataFrame, types: Sequence[str]) -> DataFrame:
@@ -101,6 +104,57 @@ def changed_columns(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return pair_images(feed, keys).select(*keys, COMMIT_VERSION, names.alias("changed"))
 
 
+COLUMN_VERSIONS = "column_versions"
+
+
+def column_deltas(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Changes that carry only what changed, as partial states that `fold_columns` adds up.
+
+    keys, the data columns (NULL unless changed), column_versions (the version of every column that changed, NULL
+    for the others), last_commit_version, is_deleted.  An insert sets all columns, a delete none.
+    """
+    columns = data_columns(feed, keys)
+    kind = F.col(CHANGE_TYPE)
+    whole = feed.where(is_change(INSERT, DELETE)).select(
+        *keys,
+        *[F.when(kind == INSERT, F.col(c)).alias(c) for c in columns],
+        F.struct(*[F.when(kind == INSERT, F.col(COMMIT_VERSION)).alias(c) for c in columns]).alias(COLUMN_VERSIONS),
+        F.col(COMMIT_VERSION).alias(LAST_VERSION),
+        (kind == DELETE).alias(IS_DELETED),
+    )
+
+    def moved(c: str) -> Column:
+        values = [orderable(F.col(f"{c}_{side}"), feed.schema[c].dataType) for side in ("before", "after")]
+        return ~same(*values)
+
+    updates = pair_images(feed, keys).select(
+        *keys,
+        *[F.when(moved(c), F.col(f"{c}_after")).alias(c) for c in columns],
+        F.struct(*[F.when(moved(c), F.col(COMMIT_VERSION)).alias(c) for c in columns]).alias(COLUMN_VERSIONS),
+        F.col(COMMIT_VERSION).alias(LAST_VERSION),
+        F.lit(False).alias(IS_DELETED),
+    )
+    return whole.unionByName(updates)
+
+
+def fold_columns(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One partial state per key from many: every column has the value of its own greatest version.
+
+    Parts may come in any order and more than once, and be folds themselves.  A key is deleted if
+    its last change is a delete; a live row stands above a delete of its version.
+    """
+    columns = [c for c in parts.columns if c not in (*keys, COLUMN_VERSIONS, LAST_VERSION, IS_DELETED)]
+    of = {c: F.col(f"{COLUMN_VERSIONS}.{c}") for c in columns}
+    last = F.struct(LAST_VERSION, ~F.col(IS_DELETED))
+    folded = parts.groupBy(*keys).agg(
+        *[F.max_by(F.struct(c), of[c]).alias(c) for c in columns],
+        F.struct(*[F.max(of[c]).alias(c) for c in columns]).alias(COLUMN_VERSIONS),
+        F.max(LAST_VERSION).alias(LAST_VERSION),
+        F.max_by(IS_DELETED, last).alias(IS_DELETED),
+    )
+    return folded.select(*keys, *[F.col(f"{c}.{c}").alias(c) for c in columns], COLUMN_VERSIONS, LAST_VERSION, IS_DELETED)
+
+
 def tracked_updates(feed: DataFrame, keys: Sequence[str], track: Sequence[str]) -> DataFrame:
     """Post-images whose tracked columns differ from their pre-image, as feed rows.
 
@@ -220,11 +274,14 @@ def add_aggregates(parts: DataFrame, group: Sequence[str]) -> DataFrame:
     return parts.groupBy(*group).agg(*sums).where(F.col("rows") != 0)
 
 
-def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
+def reconcile(left: DataFrame, right: DataFrame, levels: Sequence[Level] = ()) -> DataFrame:
     """Rows that one side has more often than the other: side and number of extra copies.
 
-    One aggregate over the union of both sides instead of two set differences.
+    One aggregate over the union of both sides instead of two set differences.  With levels digests of
+    groups are compared first, coarse ones before fine ones, and only rows of groups that differ are shuffled.
     """
+    if levels:
+        left, right = only_differing(left, right, levels)
     columns = left.columns
     tagged = left.withColumn("n", F.lit(1)).unionByName(right.withColumn("n", F.lit(-1)))
     return (

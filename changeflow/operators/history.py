@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from changeflow.contracts import COMMIT_DATE, COMMIT_TIMESTAMP
 from changeflow.operators.changes import with_capture_time
+from changeflow.operators.digest import Level, only_differing
 
 # Fixed value: above this many changes per day monthly partitions are advised.
 BUSY_DAY_ROWS = 10_000_000
@@ -78,11 +79,15 @@ def read_widened(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def append_only_audit(before: DataFrame, after: DataFrame) -> DataFrame:
+def append_only_audit(before: DataFrame, after: DataFrame, levels: Sequence[Level] = ()) -> DataFrame:
     """Rows of an earlier history that a later one lost or changed; must be empty.
 
-    Copies count: a row stored twice has to be there twice.
+    Copies count: a row stored twice has to be there twice.  With levels (say a date, then a
+    version) digests are compared first, and only groups that differ are compared row by row: the
+    later history should be cut at the end of the earlier one.
     """
+    if levels:
+        before, after = only_differing(before, after, levels)
     columns = before.columns
     tagged = before.withColumn("n", F.lit(1)).unionByName(after.select(*columns).withColumn("n", F.lit(-1)))
     lost = tagged.groupBy(*columns).agg(F.sum("n").alias("lost_copies"))

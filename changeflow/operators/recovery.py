@@ -40,22 +40,24 @@ RETENTION_ALERT_PERCENT = 80
 ACTIONS = {
     "FEED_DISABLED": "Turn the feed on again, find the gap window, repair it from a snapshot diff.",
     "VERSION_LOST": "Take a full snapshot as the new baseline and move the watermark to its version.",
+    "NEVER_READ": "Start a consumer, or take the source off the ledger.",
     "HIGH_LAG": "Run more often or keep history longer.",
     "OK": "None.",
 }
 
 
 def _ledger_per_source(commits: DataFrame, progress: DataFrame) -> DataFrame:
-    """Facts about the commits of every source, relative to what was processed.
+    """Facts about the commits of every source, of the ledger or of progress, relative to what was processed.
 
-    An inner join first, which adaptive execution can split on a source with very
-    many commits; then an aggregate that combines on the map side.
+    A left join first, which adaptive execution can split on a source with very
+    many commits; then an aggregate that combines on the map side.  A source nobody has read has no
+    last version, and all its commits are unread.
     """
     version, last = F.col("version"), F.col("last_version")
-    unread = version > last
+    unread = version > F.coalesce(last, F.lit(0))
     data = F.col("operation").isin(*DATA_OPERATIONS)
     facts = (
-        commits.join(progress, "source")
+        commits.join(progress, "source", "left")
         .groupBy("source")
         .agg(
             F.max("version").alias("current_version"),
@@ -65,8 +67,8 @@ def _ledger_per_source(commits: DataFrame, progress: DataFrame) -> DataFrame:
             F.coalesce(F.max(unread & data & ~F.col("feed_enabled")), F.lit(False)).alias("gap_unread"),
         )
     )
-    return progress.join(facts, "source", "left").withColumn(
-        "lag", F.col("current_version") - F.col("last_version")
+    return progress.join(facts, "source", "full_outer").withColumn(
+        "lag", F.col("current_version") - F.coalesce(F.col("last_version"), F.lit(0))
     )
 
 
@@ -74,7 +76,8 @@ def feed_health(commits: DataFrame, progress: DataFrame, max_lag: int = MAX_LAG)
     """Status and all issues of every source at once.
 
     A consumer that is caught up has lost nothing.  HIGH_LAG means strictly more than
-    the limit.  A source without any commit counts as disabled.
+    the limit.  A source without any commit counts as disabled, and one that the ledger has and
+    progress lacks as NEVER_READ.
     """
     caught_up = F.col("lag") <= 0
     disabled = F.coalesce(~F.col("enabled_now") | F.col("gap_unread"), F.lit(True))
@@ -82,7 +85,10 @@ def feed_health(commits: DataFrame, progress: DataFrame, max_lag: int = MAX_LAG)
     late = F.coalesce(F.col("lag") > max_lag, F.lit(False))
     issues = F.array_compact(
         F.array(
-            F.when(disabled, "FEED_DISABLED"), F.when(lost, "VERSION_LOST"), F.when(late, "HIGH_LAG")
+            F.when(disabled, "FEED_DISABLED"),
+            F.when(lost, "VERSION_LOST"),
+            F.when(F.col("last_version").isNull(), "NEVER_READ"),
+            F.when(late, "HIGH_LAG"),
         )
     )
     action = F.create_map(*[F.lit(x) for pair in ACTIONS.items() for x in pair])

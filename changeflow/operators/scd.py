@@ -309,8 +309,16 @@ def normalize_sequence(
 
 
 def distinct_zone_offsets(events: DataFrame, text: str) -> DataFrame:
-    """UTC offsets that time strings are written with; more than one asks for a check."""
-    offset = F.regexp_extract(F.col(text), r"(Z|[+-]\d{2}:\d{2})$", 1)
+    """UTC offsets that time strings are written with; more than one asks for a check.
+
+    `+10`, `+1000` and `+10:00` are one offset; a zone may be named, as in `12:30 Australia/Brisbane`;
+    a time without any has the empty one.
+    """
+    zone = r"\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*"
+    number = F.regexp_extract(F.col(text), zone + r"([+-]\d{2}(?::?\d{2})?)$", 1)
+    digits = F.rpad(F.regexp_replace(number, ":", ""), 5, "0")
+    name = F.regexp_extract(F.col(text), zone + r"\[?([A-Za-z]+(?:/[A-Za-z0-9_+-]+)*)\]?$", 1)
+    offset = F.when(number == "", name).otherwise(F.concat(F.substring(digits, 1, 3), F.lit(":"), F.substring(digits, 4, 2)))
     return events.select(offset.alias("utc_offset")).groupBy("utc_offset").agg(F.count("*").alias("rows"))
 
 

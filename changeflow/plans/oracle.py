@@ -328,6 +328,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM later i LEFT JOIN dim d ON i.user_id = d.user_id
         WHERE i.operation <> 'DELETE' AND (d.user_id IS NULL OR {DIFFERS})""", MANUAL_DIM),
     "merge_state": sql("SELECT * FROM live"),
+    "anti_new_customers": """
+        SELECT * FROM customer WHERE c_custkey NOT IN (
+          SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1995)""",
     "anti_new_keys": """
         SELECT * FROM customer WHERE c_custkey NOT IN (
           SELECT o_custkey FROM orders)""",
@@ -492,6 +495,21 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT *, NOT enabled_now OR gap_unread AS off,
                      lag > 0 AND NOT COALESCE(next_retained, TRUE) AS lost, lag > 100 AS late FROM facts)""",
         LEDGER),
+    "feed_health_unread": sql("""
+        SELECT s.source, CASE WHEN s.source = 'ghost' THEN p.last_version WHEN s.source <> 'view' THEN f.last_version END AS last_version,
+               CASE WHEN s.source <> 'ghost' THEN f.current_version END AS current_version,
+               CASE WHEN s.source = 'view' THEN f.current_version WHEN s.source <> 'ghost' THEN f.lag END AS lag,
+               CASE WHEN s.source IN ('ghost', 'view') THEN 'FEED_DISABLED'
+                    ELSE COALESCE(CASE WHEN off THEN 'FEED_DISABLED' WHEN lost THEN 'VERSION_LOST'
+                                       WHEN late THEN 'HIGH_LAG' END, 'OK') END AS status,
+               CASE s.source WHEN 'ghost' THEN 'FEED_DISABLED' WHEN 'view' THEN 'FEED_DISABLED,VERSION_LOST,NEVER_READ,HIGH_LAG'
+                    ELSE concat_ws(',', CASE WHEN off THEN 'FEED_DISABLED' END, CASE WHEN lost THEN 'VERSION_LOST' END,
+                                   CASE WHEN late THEN 'HIGH_LAG' END) END AS issues
+        FROM (SELECT source FROM source_progress UNION ALL SELECT 'ghost') s
+        LEFT JOIN (SELECT *, NOT enabled_now OR gap_unread AS off,
+                          lag > 0 AND NOT COALESCE(next_retained, TRUE) AS lost, lag > 100 AS late FROM facts) f
+          ON f.source = s.source
+        JOIN source_progress p ON p.source = 'click'""", LEDGER),
     "evolve_dim2": sql("SELECT * FROM wide", scd2("wide", "raw_note", ["segment", "note"])),
     "run_full_batch": sql(
         "SELECT user_id, segment, score, last_commit_version, is_deleted FROM state_rows"
@@ -505,6 +523,9 @@ ORACLE_SQL: dict[str, str] = {
     "stream_apply_scd2": sql("SELECT * FROM dim2", DIM2),
     "stream_history": sql(HISTORY),
     "stream_metrics": sql(METRICS),
+    "stream_live_metrics": sql(METRICS),
+    "partial_replication": sql("SELECT * FROM live"),
+    "changes_function": sql(f"SELECT * FROM feed WHERE _commit_version BETWEEN {v(20)} AND {v(60)}"),
     "fan_out": sql("""
         SELECT user_id, _commit_version, 'history' AS sink FROM feed
         UNION ALL

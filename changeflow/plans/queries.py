@@ -253,7 +253,7 @@ def append_only_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = feed.where(F.col("_change_type") != DELETE).withColumn(
         "note", F.when(F.col("segment") == "purchase", "changed").otherwise(F.col("note"))
     )
-    return history.append_only_audit(feed, tampered)
+    return history.append_only_audit(feed, tampered, [[F.to_date("_commit_timestamp")], ["_commit_version"]])
 
 
 @query
@@ -294,6 +294,24 @@ def changed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.withColumn("changed", F.concat_ws(",", "changed"))
 
 
+@query
+def partial_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that carry changed columns only, folded in three parts that cut across keys and versions, one twice."""
+    deltas = changes.column_deltas(derived.user_feed(spark, sf_dir), KEYS)
+    part = F.pmod(F.xxhash64("user_id", "last_commit_version"), F.lit(3))
+    folds = [changes.fold_columns(deltas.where(part == k), KEYS) for k in (2, 0, 1, 0)]
+    folded = changes.fold_columns(changes.union_changes(folds), KEYS)
+    return folded.where("NOT is_deleted").select("user_id", *VALUES, "last_commit_version")
+
+
+@query
+def changes_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version range in SQL, through a table function."""
+    reading.register_changes_function(derived.user_feed(spark, sf_dir), "user_changes")
+    first, last = at(spark, sf_dir, 20), at(spark, sf_dir, 60)
+    return spark.sql(f"SELECT * FROM user_changes({first}, {last})")
+
+
 @query
 def tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.tombstones(derived.user_feed(spark, sf_dir), KEYS)
@@ -392,6 +410,14 @@ def merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def anti_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers without an order of 1995: most of them have some of other years."""
+    orders = derived.table(spark, sf_dir, "orders").where(F.year("o_orderdate") == 1995)
+    seen = orders.select(F.col("o_custkey").alias("c_custkey"))
+    return scd.anti_new_keys(derived.table(spark, sf_dir, "customer"), seen, ["c_custkey"])
+
+
 @query
 def anti_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = derived.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
@@ -488,7 +514,9 @@ def incremental_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def distinct_zone_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, early = derived.raw_cdc(spark, sf_dir), at(spark, sf_dir, 30)
-    offset = F.when(F.col("_commit_version") < early, "+10:00").otherwise("+00:00")
+    version = F.col("_commit_version")
+    short = F.when(version % 3 == 0, "+10").when(version % 3 == 1, "+1000").otherwise("+10:00")
+    offset = F.when(version < early, short).otherwise("+00:00")
     text = raw.withColumn("ts_text", F.concat(F.col("updated_at").cast("string"), offset))
     return scd.distinct_zone_offsets(text, "ts_text")
 
@@ -560,7 +588,8 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.reconcile(snapshot_as_of(spark, sf_dir), current_snapshot(spark, sf_dir))
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(1024))
+    return changes.reconcile(snapshot_as_of(spark, sf_dir), current_snapshot(spark, sf_dir), [[bucket]])
 
 
 # --- apply, history and recovery ---------------------------------------------
@@ -714,6 +743,15 @@ def feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recovery.feed_health(commits, derived.source_progress(commits)).drop("action")
 
 
+@query
+def feed_health_unread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health where a source of the ledger was never read and one of progress has no commits."""
+    commits = derived.source_commits(spark, sf_dir)
+    progress = derived.source_progress(commits).where("source <> 'view'")
+    ghost = progress.where("source = 'click'").withColumn("source", F.lit("ghost"))
+    return recovery.feed_health(commits, progress.unionByName(ghost)).drop("action")
+
+
 @query
 def evolve_dim2(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = derived.raw_cdc(spark, sf_dir, note_from=at(spark, sf_dir, 50))
@@ -823,6 +861,18 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.withColumn("score_sum", F.col("score_sum").cast("double"))
 
 
+@query
+def stream_live_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics kept as state of the stream, after a lost checkpoint and a second run over the whole feed."""
+    feed = decimal_feed(spark, sf_dir)
+    path, job = stored_feed(spark, feed, "feed"), new_job(spark, "live-metrics")
+    for held in (job, job.recovered()):
+        stream = reading.stream_changes(spark, path, feed.schema, 0, part_of_files(spark, 4))
+        consumers.stream_live_metrics(stream, held, ["segment"], {"score_sum": "score"})
+    metrics = consumers.read_live_metrics(spark, job.sink, ["segment"])
+    return metrics.withColumn("score_sum", F.col("score_sum").cast("double"))
+
+
 @query
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = derived.user_feed(spark, sf_dir)

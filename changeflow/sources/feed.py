@@ -73,6 +73,23 @@ def register_changes_view(feed: DataFrame, name: str) -> None:
     feed.createOrReplaceTempView(name)
 
 
+def register_changes_function(feed: DataFrame, name: str) -> None:
+    """A SQL table function `name(start_version, end_version)` over a feed, both ends inclusive.
+
+    Without the second argument the range has no end.  SELECT * FROM name(20, 60) gives what `changes_between`
+    gives, and the bounds reach the scan.  The feed is registered as the view `<name>_feed`.
+    """
+    if not name.isidentifier():
+        raise ValueError(f"{name!r} is no name for a function")
+    register_changes_view(feed, f"{name}_feed")
+    feed.sparkSession.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}"
+        "(start_version BIGINT, end_version BIGINT DEFAULT 9223372036854775807) RETURNS TABLE "
+        f"RETURN SELECT * FROM {name}_feed f "
+        f"WHERE f.{COMMIT_VERSION} >= {name}.start_version AND f.{COMMIT_VERSION} <= {name}.end_version"
+    )
+
+
 def stream_table(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:

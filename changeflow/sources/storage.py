@@ -25,6 +25,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that the session reads; none if there is no such folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"

@@ -8,13 +8,15 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, StructField, StructType
 
 from changeflow.contracts import COMMIT_DATE, COMMIT_VERSION
 from changeflow.operators.changes import (
     add_aggregates,
     high_water_mark,
     project_sink,
+    reconcile,
+    signed,
     signed_aggregate,
     tombstones,
 )
@@ -22,7 +24,8 @@ from changeflow.operators.history import history_rows
 from changeflow.operators.quality import expect_or_drop
 from changeflow.operators.state import current_snapshot, fold_feed, fold_states
 from changeflow.sources.feed import stream_changes
-from changeflow.streaming.sinks import RUN, Job, read_batches, read_feed_sink, run
+from changeflow.streaming.sinks import BATCH, RUN, Job, read_batches, read_feed_sink, run
+from changeflow.streaming.tiers import FANOUT, fold_tiers, read_live_folders
 
 
 def run_feed_stream(stream: DataFrame, job: Job, columns: Sequence[str]) -> DataFrame:
@@ -112,15 +115,16 @@ def read_drops(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def stream_apply_scd1(
-    stream: DataFrame, job: Job, keys: Sequence[str], every: str | None = None
+    stream: DataFrame, job: Job, keys: Sequence[str], every: str | None = None, fanout: int = FANOUT
 ) -> StreamingQuery:
     """Fold every batch to one row per key and store it as state rows of that batch.
 
-    A batch writes as much as it changed.  `read_state` folds all batches by version,
-    so order, repetition and recovery do not matter; `compact_state` shortens the read.
+    A batch writes as much as it changed, and every `fanout` batches are folded into one folder, tier by tier.
+    `read_state` folds what is left by version, so order, repetition and recovery do not matter.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        fold_tiers(batch.sparkSession, job, batch_id, lambda rows: fold_states(rows, keys), fanout)
         fold_feed(batch, keys).write.mode("overwrite").parquet(job.folder(batch_id))
 
     return run(stream, job, write, every)
@@ -128,7 +132,7 @@ def stream_apply_scd1(
 
 def read_state(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
     """The state of a `stream_apply_scd1` sink, tombstones included."""
-    return fold_states(read_batches(spark, sink), keys)
+    return fold_states(read_live_folders(spark, sink), keys)
 
 
 def compact_state(spark: SparkSession, sink: str, keys: Sequence[str], job: Job) -> None:
@@ -166,6 +170,102 @@ def read_metrics(spark: SparkSession, sink: str, group: Sequence[str]) -> DataFr
     return add_aggregates(parts.where(F.col(RUN) == newest).drop(RUN), group)
 
 
+def stream_live_metrics(
+    stream: DataFrame,
+    job: Job,
+    group: Sequence[str],
+    measures: Mapping[str, str],
+    every: str | None = None,
+) -> StreamingQuery:
+    """Metrics of the live table as keyed state of the stream; a batch stores the totals of the groups it changed.
+
+    `read_live_metrics` takes the latest totals of a group, however many batches there were.
+    """
+    sums = [F.sum(F.col("sign") * F.col(c)).alias(name) for name, c in measures.items()]
+    totals = signed(stream).groupBy(*group).agg(
+        F.sum("sign").alias("rows"), *sums, F.max(COMMIT_VERSION).alias(UPTO)
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(job.folder(batch_id))
+
+    return run(totals, job, write, every, mode="update")
+
+
+#: The greatest version that has gone into the totals of a group.
+UPTO = "upto_version"
+
+
+def read_live_metrics(
+    spark: SparkSession, sink: str, group: Sequence[str], schema: StructType | None = None
+) -> DataFrame:
+    """The metrics of a `stream_live_metrics` sink, from the run that has got furthest.
+
+    A recovered stream must read the feed from its start; until it has reached the version
+    that the earlier run had, that run's totals hold, so that totals never fall back meanwhile.
+    """
+    return _latest_totals(spark, sink, group, schema).where(F.col("rows") != 0).drop(UPTO, RUN)
+
+
+def _latest_totals(
+    spark: SparkSession, sink: str, group: Sequence[str], schema: StructType | None = None
+) -> DataFrame:
+    parts = read_batches(spark, sink, keep=[RUN, BATCH], schema=schema)
+    # One row per checkpoint; of runs that got as far as each other the newest.
+    furthest = parts.groupBy(RUN).agg(F.max(UPTO).alias(UPTO)).agg(F.max(F.struct(UPTO, RUN)).alias("at"))
+    rest = [c for c in parts.columns if c not in (*group, BATCH)]
+    mine = parts.where(F.col(RUN) == furthest.select(f"at.{RUN}").scalar())
+    return mine.groupBy(*group).agg(F.max_by(F.struct(*rest), BATCH).alias("row")).select(*group, "row.*")
+
+
+def state_totals(
+    spark: SparkSession, job: Job, group: Sequence[str], measures: Mapping[str, DataType]
+) -> DataFrame:
+    """The totals that a `stream_live_metrics` job keeps in its checkpoint, read with Spark's state reader.
+
+    `measures` names the types of the measured columns.
+    """
+    state = spark.read.format("statestore").load(job.checkpoint)
+    # Sums and the maximum in order; a decimal sum has a second field that tells whether it is empty.
+    names = ["rows"]
+    for name, kind in measures.items():
+        names += [name] + [f"{name}_empty"] * isinstance(kind, DecimalType)
+    names.append(UPTO)
+
+    def renamed(column: str, to: Sequence[str]) -> Column:
+        fields = state.schema[column].dataType.fields
+        return F.col(column).cast(StructType([StructField(n, f.dataType) for n, f in zip(to, fields, strict=True)]))
+
+    flat = state.select(renamed("key", list(group)).alias("key"), renamed("value", names).alias("value"))
+    return flat.select("key.*", *[f"value.{n}" for n in ("rows", *measures, UPTO)])
+
+
+def metrics_drift(
+    spark: SparkSession, job: Job, group: Sequence[str], measures: Mapping[str, DataType]
+) -> DataFrame:
+    """Totals that sink and state of a job don't agree on: `left` is the sink's. Empty unless folders were lost."""
+    return reconcile(_sink_totals(spark, job, group), state_totals(spark, job, group, measures))
+
+
+def _sink_totals(spark: SparkSession, job: Job, group: Sequence[str]) -> DataFrame:
+    parts = read_batches(spark, job.sink, keep=[RUN, BATCH]).where(F.col(RUN) == job.generation)
+    rest = [c for c in parts.columns if c not in (*group, RUN, BATCH)]
+    return parts.groupBy(*group).agg(F.max_by(F.struct(*rest), BATCH).alias("row")).select(*group, "row.*")
+
+
+def repair_metrics(
+    spark: SparkSession, job: Job, group: Sequence[str], measures: Mapping[str, DataType]
+) -> None:
+    """Write the totals of the state to the sink as its newest batch so far, after folders were lost.
+
+    The stream must not be running; its next batch comes after this one.
+    """
+    last = spark.read.format("state-metadata").load(job.checkpoint).agg(F.max("maxBatchId")).scalar()
+    at = spark.range(1).select(last.alias("v")).first()["v"]
+    totals = state_totals(spark, job, group, measures).checkpoint()
+    totals.write.mode("overwrite").parquet(job.folder(at))
+
+
 def fan_out(
     stream: DataFrame,
     history: Job,
