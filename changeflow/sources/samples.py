@@ -16,7 +16,6 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from changeflow.contracts import DELETE, INSERT, POSTIMAGE, PREIMAGE
 from changeflow.operators.security import tag_columns
 
 CDC_SCHEMA = StructType(
@@ -75,18 +74,21 @@ def seed_cdc(spark: SparkSession) -> DataFrame:
 
 
 def seed_feed(spark: SparkSession) -> DataFrame:
-    """A change feed of two machines: inserts, an update of the remark, a move, a delete; one commit a day."""
-    commits = [
-        [(41, "Oslo", "new", INSERT), (42, "Lima", "new", INSERT)],
-        [(42, "Lima", "new", PREIMAGE), (42, "Lima", "oiled", POSTIMAGE)],
-        [(41, "Oslo", "new", PREIMAGE), (41, "Bonn", "new", POSTIMAGE)],
-        [(42, "Lima", "oiled", DELETE)],
-    ]
-    rows = [
-        (*change, version, _START + timedelta(days=version))
-        for version, changes in enumerate(commits, start=1)
-        for change in changes
-    ]
+    """A change feed of machines, one commit a day, with what consumers get wrong.
+
+    Machine 42 goes and comes back in one commit; 41 gets a remark where it had none, while an
+    update of 43 alters nothing; 43 goes for good.
+    """
+    story = """
+        1 41 insert Oslo -, 2 42 insert Lima new, 2 43 insert Cork new, 3 42 delete Lima new, 3 42 insert Bonn new,
+        4 41 update_preimage Oslo -, 4 41 update_postimage Oslo oiled, 4 43 update_preimage Cork new,
+        4 43 update_postimage Cork new, 5 43 delete Cork new
+    """
+    rows = []
+    for event in story.split(","):
+        version, machine, kind, site, remark = event.split()
+        at = _START + timedelta(days=int(version))
+        rows.append((int(machine), site, None if remark == "-" else remark, kind, int(version), at))
     return spark.createDataFrame(rows, FEED_SCHEMA)
 
 

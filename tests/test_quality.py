@@ -19,7 +19,7 @@ def test_safe_read_has_the_declared_shape(spark):
     got = quality.safe_cdf_read(seed_feed(spark), 2, EXPECTED)
     assert got.columns == ["added_later", "machine_id", "site", "_change_type", "_commit_version", "_commit_timestamp"]
     assert got.schema["added_later"].dataType == IntegerType()
-    assert got.count() == 5
+    assert got.count() == 9
 
 
 def test_expectations(spark):
@@ -85,7 +85,7 @@ def test_version_and_time_ranges(spark):
     commits = feed.select(F.col("_commit_version").alias("version"), F.col("_commit_timestamp").alias("timestamp")).distinct()
     noon = F.lit("2025-05-14 12:00:00").cast("timestamp")
     # Version 2 is from the 14th at six, so the next commit is version 3.
-    assert {r[0] for r in reading.changes_since(feed, commits, noon).select("_commit_version").collect()} == {3, 4}
+    assert {r[0] for r in reading.changes_since(feed, commits, noon).select("_commit_version").collect()} == {3, 4, 5}
     last = reading.changes_since(feed, commits, noon, F.lit("2025-05-16 05:00:00").cast("timestamp"))
     assert {r[0] for r in last.select("_commit_version").collect()} == {3}
     assert reading.changes_since(feed, commits, F.lit("2027-01-01").cast("timestamp")).isEmpty()
@@ -95,12 +95,12 @@ def test_version_and_time_ranges(spark):
         reading.read_changes(feed, commits, start_version=1, start_time=datetime(2026, 1, 1))
     with pytest.raises(ValueError, match="not neither"):
         reading.read_changes(feed)
-    assert reading.read_changes(feed, commits, start_time=datetime(2025, 5, 16)).count() == 1
+    assert reading.read_changes(feed, commits, start_time=datetime(2025, 5, 16)).count() == 5
 
 
 def test_changes_view(spark):
     reading.register_changes_view(seed_feed(spark), "customer_changes")
-    assert spark.sql("SELECT * FROM customer_changes WHERE _commit_version >= 3").count() == 3
+    assert spark.sql("SELECT * FROM customer_changes WHERE _commit_version >= 3").count() == 7
     with pytest.raises(ValueError, match="lacks"):
         check_feed(spark.range(1))
 
@@ -110,7 +110,7 @@ def test_projection_helpers(spark):
     assert changes.project_sink(feed, ["machine_id"]).columns == ["machine_id", "_change_type", "_commit_version", "_commit_timestamp"]
     assert "remark" not in changes.except_columns(feed, ["remark"]).columns
     assert "captured_at" in changes.with_capture_time(feed).columns
-    assert changes.high_water_mark(feed).first()[0] == 4
+    assert changes.high_water_mark(feed).first()[0] == 5
     assert changes.high_water_mark(feed.where("1 = 0")).first()[0] == 0
 
 

@@ -114,11 +114,11 @@ def test_gap_of_inserts_gives_inserts(spark):
 
 def test_baseline_has_one_version(spark):
     feed = seed_feed(spark)
-    made = commits(spark, range(1, 5), source="customers")
+    made = commits(spark, range(1, 6), source="customers")
     base = recovery.rebaseline(feed, made, ["machine_id"])
-    assert base.version == 4
-    assert [(r["machine_id"], r["last_commit_version"]) for r in base.snapshot.collect()] == [(41, 4)]
-    assert [tuple(r) for r in base.progress("customers").collect()] == [("customers", 4)]
+    assert base.version == 5
+    assert [(r["machine_id"], r["last_commit_version"]) for r in base.snapshot.orderBy("machine_id").collect()] == [(41, 5), (42, 5)]
+    assert [tuple(r) for r in base.progress("customers").collect()] == [("customers", 5)]
 
 
 def test_replay_finds_nothing_for_a_right_apply(spark):
@@ -136,14 +136,14 @@ def test_replay_of_a_row_that_comes_back_in_the_version_of_its_delete(spark):
 
 def test_full_batch_moves_state_and_watermark(spark):
     feed = seed_feed(spark)
-    made = commits(spark, range(1, 5), source="customers")
+    made = commits(spark, range(1, 6), source="customers")
     progress = spark.createDataFrame([("customers", 1), ("other", 7)], "source string, last_version bigint")
     start = state.fold_feed(feed.where("_commit_version <= 1"), ["machine_id"]).drop("remark")
     expected = StructType([StructField("machine_id", LongType()), StructField("site", StringType())])
     result = run_batch("customers", feed, made, start, progress, ["machine_id"], expected)
     assert {(r["machine_id"], r["site"], r["is_deleted"]) for r in result.state.collect()} == {
-        (41, "Bonn", False), (42, None, True),
+        (41, "Oslo", False), (42, "Bonn", False), (43, None, True),
     }
-    assert {tuple(r) for r in result.progress.collect()} == {("customers", 4), ("other", 7)}
+    assert {tuple(r) for r in result.progress.collect()} == {("customers", 5), ("other", 7)}
     again = run_batch("customers", feed, made, result.state, progress, ["machine_id"], expected)
     assert changes.reconcile(result.state, again.state).isEmpty()

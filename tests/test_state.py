@@ -173,7 +173,7 @@ def test_a_state_read_back_from_files_goes_on(spark):
     from changeflow.sources.storage import new_folder
 
     rows, held = seed_feed(spark), None
-    for v in (1, 2, 3, 4):
+    for v in (1, 2, 3, 4, 5):
         base = held if held is not None else state.empty_state(spark, rows, ["machine_id"])
         step = state.apply_changes_scd1(base, rows.where(F.col("_commit_version") == v), ["machine_id"])
         held = publish_snapshot(step, new_folder(spark, "state"))
