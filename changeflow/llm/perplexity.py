@@ -53,22 +53,30 @@ def half_of(ids: Column) -> Column:
 
 def grams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, half, gram, n): five-character n-grams of the words of all documents; a null language is the empty one."""
+    spaced = F.translate(F.col(text_col).cast("string"), SPACE, " " * len(SPACE))
     words = (
         docs.select(
             F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
             half_of(F.col(id_col)).alias("half"),
-            F.explode(F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(WORD), F.lit(1))).alias("word"),
+            F.explode(F.split(spaced, " ")).alias("word"),
         )
+        .where("word <> ''")
         .groupBy("lang", "half", "word")
         .agg(F.count("*").alias("n"))
     )
-    padded = F.concat(F.lit(BEGIN * (ORDER - 1)), "word", F.lit(END))
-    each = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))
+    pieces = F.regexp_extract_all("word", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    each = F.when(F.length("word") <= PIECE, _grams_of(F.col("word"))).otherwise(F.flatten(F.transform(pieces, _grams_of)))
     return words.select("lang", "half", "n", F.explode(each).alias("gram")).groupBy("lang", "half", "gram").agg(
         F.sum("n").alias("n")
     )
 
 
+def _grams_of(word: Column) -> Column:
+    """The n-grams that end in each character of a word and in its end mark."""
+    padded = F.concat(F.lit(BEGIN * (ORDER - 1)), word, F.lit(END))
+    return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))
+
+
 def estimate(top: DataFrame) -> DataFrame:
     """(lang, half, size, gram, seen, value): the model of n-gram counts `top`, as logarithms.
 
@@ -171,6 +179,9 @@ class Arrays:
         for power in _powers():
             hashes.append(hashes[-1] + shifted * power)
             shifted = np.concatenate([np.zeros(1, np.uint64), shifted[:-1]])
+        # The last characters decide: each distinct n-gram is looked up once.
+        _, first, which = np.unique(hashes[ORDER][place], return_index=True, return_inverse=True)
+        place = place[first]
         chance, open_ = np.zeros(len(place)), np.arange(len(place))
         for size in range(ORDER, 0, -1):
             hit, value = self._find(size, True, hashes[size][place[open_]])
@@ -179,7 +190,7 @@ class Arrays:
             hit, value = self._find(size, False, hashes[size - 1][place[open_] - 1])
             chance[open_[hit]] += value[hit]
         by = np.array(owner)[of]
-        return np.bincount(by, chance, len(words)), np.bincount(by, minlength=len(words))
+        return np.bincount(by, chance[which], len(words)), np.bincount(by, minlength=len(words))
 
 
 def model_key(lang: Column, half: Column) -> Column:
