@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -308,6 +308,60 @@ def normalize_sequence(
     return events.withColumn(time, value)
 
 
+def zone_shifts(
+    events: DataFrame, time: str, version: str, committed: str, step_minutes: int = 30, blocks: int = 1000
+) -> DataFrame:
+    """(first_version, last_version, lag_minutes): version ranges between whose ends the clock of `time` didn't move.
+
+    Events are committed soon after they happen, apart from late ones, so the least lag of a block of versions
+    is near zero, or near what the clock of the block is off by.  Blocks of equal least lag, in whole steps, are one
+    range; the version at which it changes is then looked up in the block where it lies.  A positive
+    lag means that times are behind, as local times west of UTC are.  Late events just at a change fit both
+    ranges and count to that of the lesser lag.
+
+    One aggregate gives at most `blocks` rows, in blocks of 100 versions at least; another reads the blocks that
+    hold a change.
+    """
+    lag = F.timestamp_diff("MINUTE", F.col(time), F.col(committed))
+    slim = events.where(F.col(time).isNotNull() & F.col(committed).isNotNull())
+    slim = slim.select(F.col(version).alias("v"), lag.alias("lag"))
+    ends = slim.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    if ends["lo"] is None:
+        return slim.select(F.col("v").alias("first_version"), F.col("v").alias("last_version"), F.col("lag").alias("lag_minutes"))
+    size = max(100, -(-(ends["hi"] - ends["lo"] + 1) // blocks))
+    placed = slim.withColumn("block", F.floor((F.col("v") - ends["lo"]) / size))
+    least = placed.groupBy("block").agg(F.min("lag").alias("least"))
+    order = Window.orderBy("block")  # a row per block
+    steps = least.select("block", (F.floor(F.col("least") / step_minutes) * step_minutes).alias("shift")).select(
+        "block", "shift", F.lag("shift").over(order).alias("before"), F.lag("block").over(order).alias("block_before")
+    )
+    moved = steps.where(F.col("before").isNull() | (F.col("before") != F.col("shift")))
+    # A block that holds both clocks has the smaller lag: it comes first where the lag rises.
+    rises = F.col("shift") > F.col("before")
+    moved = moved.select("shift", "before", rises.alias("rises"), F.when(rises, F.col("block_before")).otherwise(F.col("block")).alias("block"))
+    inside = placed.join(F.broadcast(moved), "block")  # at most `blocks` rows
+    start = F.when(
+        F.first("rises"), F.max(F.when(F.col("lag") < F.col("shift"), F.col("v"))) + 1
+    ).otherwise(F.min(F.when(F.col("before").isNull() | (F.col("lag") < F.col("before")), F.col("v"))))
+    starts = inside.groupBy("block", "shift", "before").agg(start.alias("first_version"))
+    following = F.lead("first_version").over(Window.orderBy("first_version"))
+    return starts.select(
+        "first_version",
+        F.coalesce(following - 1, F.lit(ends["hi"])).alias("last_version"),
+        F.col("shift").cast("bigint").alias("lag_minutes"),
+    )
+
+
+def version_zones(shifts: DataFrame, usual_minutes: int = 0) -> list[VersionZone]:
+    """The ranges of `zone_shifts` that are off the usual lag, as offsets for `normalize_sequence`; a few rows."""
+    out = []
+    for r in shifts.where(F.col("lag_minutes") != usual_minutes).orderBy("first_version").collect():
+        off = usual_minutes - r["lag_minutes"]
+        sign, minutes = ("+" if off > 0 else "-"), abs(off)
+        out.append(VersionZone(r["first_version"], r["last_version"], f"{sign}{minutes // 60:02d}:{minutes % 60:02d}"))
+    return out
+
+
 def distinct_zone_offsets(events: DataFrame, text: str) -> DataFrame:
     """UTC offsets that time strings are written with; more than one asks for a check.
 

@@ -510,6 +510,10 @@ ORACLE_SQL: dict[str, str] = {
                           lag > 0 AND NOT COALESCE(next_retained, TRUE) AS lost, lag > 100 AS late FROM facts) f
           ON f.source = s.source
         JOIN source_progress p ON p.source = 'click'""", LEDGER),
+    "zone_shifts": f"""
+        SELECT CAST(1 AS BIGINT) AS first_version, {v(30)} AS last_version, CAST(600 AS BIGINT) AS lag_minutes
+        UNION ALL SELECT {v(30)} + 1, {TOP}, 0""",
+    "zones_restored": sql("SELECT * FROM raw"),
     "evolve_dim2": sql("SELECT * FROM wide", scd2("wide", "raw_note", ["segment", "note"])),
     "run_full_batch": sql(
         "SELECT user_id, segment, score, last_commit_version, is_deleted FROM state_rows"

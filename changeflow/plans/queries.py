@@ -704,6 +704,21 @@ def local_early(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.normalize_sequence(raw, "updated_at", "_commit_version", zones)
 
 
+@query
+def zone_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the clock of the raw events moved, found from commit times alone."""
+    committed = derived.table(spark, sf_dir, "events").select((F.col("event_id") + 1).alias("_commit_version"), "ts")
+    events = local_early(spark, sf_dir).join(committed, "_commit_version")
+    return scd.zone_shifts(events, "updated_at", "_commit_version", "ts")
+
+
+@query
+def zones_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw events again, from the shifted ones and the zones that the search found."""
+    early = local_early(spark, sf_dir)
+    return scd.normalize_sequence(early, "updated_at", "_commit_version", scd.version_zones(zone_shifts(spark, sf_dir)))
+
+
 @query
 def normalize_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return local_early(spark, sf_dir)

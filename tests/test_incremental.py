@@ -180,3 +180,17 @@ def test_offsets_in_all_forms(spark):
     assert {r.utc_offset: r.rows for r in found} == {
         "": 2, "Z": 1, "+10:00": 3, "-03:30": 1, "Australia/Brisbane": 1, "Etc/GMT+2": 1, None: 1,
     }
+
+
+def test_clock_shifts_are_found_to_the_version(spark):
+    # Versions 1..1000, a minute each; the clock is 10 hours behind up to 333, right, then 90 minutes ahead from 701.
+    at = F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000)
+    off = F.when(F.col("id") <= 333, -600).when(F.col("id") < 700, 0).otherwise(90)
+    late = F.when(F.col("id") % 7 == 0, 360).otherwise(F.col("id") % 13)
+    time = F.timestamp_seconds((F.col("id") + off - late) * 60 + 1_700_000_000)
+    events = spark.range(1, 1001).select(F.col("id").alias("version"), at.alias("committed"), time.alias("time"))
+    found = scd.zone_shifts(events, "time", "version", "committed")
+    assert sorted(map(tuple, found.collect())) == [(1, 333, 600), (334, 700, 0), (701, 1000, -90)]
+    zones = scd.version_zones(found)
+    assert [(z.first_version, z.last_version, z.zone) for z in zones] == [(1, 333, "-10:00"), (701, 1000, "+01:30")]
+    assert scd.zone_shifts(events.limit(0), "time", "version", "committed").isEmpty()
