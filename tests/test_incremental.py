@@ -117,6 +117,11 @@ def test_live_metrics_never_fall_back(spark, job):
     assert totals() == expected
     kinds = {"total": feed.schema["amount"].dataType}
     assert consumers.metrics_drift(spark, job, group, kinds).isEmpty()
+    # All folders of the sink are lost: the state gives them back.
+    lost = sinks.Job(new_folder(spark, "lost"), job.checkpoints)
+    consumers.repair_metrics(spark, lost, group, kinds)
+    assert {tuple(r) for r in consumers.read_live_metrics(spark, lost.sink, group).collect()} == expected
+    assert consumers.metrics_drift(spark, lost, group, kinds).isEmpty()
     again = job.recovered()
     # The recovered run has seen a part only: the earlier totals hold.
     part = new_folder(spark, "part")
