@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changeflow.contracts import COMMIT_DATE, COMMIT_TIMESTAMP
+from changeflow.contracts import COMMIT_DATE, COMMIT_TIMESTAMP, COMMIT_VERSION
 from changeflow.operators.changes import with_capture_time
 from changeflow.operators.digest import Level, only_differing
 
 # Fixed value: above this many changes per day monthly partitions are advised.
 BUSY_DAY_ROWS = 10_000_000
+# Bytes of a row group, and distinct entities expected in it, of a history for lookups.
+LOOKUP_ROW_GROUP = 16 << 20
+LOOKUP_DISTINCT = 100_000
 
 
 def with_commit_date(feed: DataFrame, grain: str = "day") -> DataFrame:
@@ -43,6 +46,40 @@ def write_partitioned_history(
     rows.write.mode(mode).partitionBy(COMMIT_DATE).parquet(path)
 
 
+def write_for_lookups(
+    history: DataFrame,
+    path: str,
+    entity: Sequence[str],
+    distinct_per_group: int = LOOKUP_DISTINCT,
+    row_group_bytes: int = LOOKUP_ROW_GROUP,
+    mode: str = "append",
+) -> None:
+    """Append to a history partitioned by commit_date, laid out so that one entity is found without reading the rest.
+
+    Rows are ranged by date, entity and version and sorted so in every file: of a date an entity lies in
+    neighbouring row groups, and one with very many events is cut by version, not held in one task.  Statistics
+    exclude the other row groups, Bloom filters those whose range covers the value but which lack it.
+    """
+    rows = history if COMMIT_DATE in history.columns else with_commit_date(history)
+    order = [COMMIT_DATE, *entity, COMMIT_VERSION]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = rows.write.mode(mode).partitionBy(COMMIT_DATE).option("parquet.block.size", row_group_bytes)
+    for column in entity:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{column}", distinct_per_group
+        )
+    writer.parquet(path)
+
+
+def entity_history(history: DataFrame, **entity) -> DataFrame:
+    """All events of one entity on all dates, by version: the filters reach the row groups of the files."""
+    rows = history
+    for column, value in entity.items():
+        kind = history.schema[column].dataType
+        rows = rows.where(F.col(column) == F.lit(value).cast(kind))
+    return rows.orderBy(COMMIT_VERSION)
+
+
 def publish_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Write a full snapshot with whatever schema it has and return it as stored.
 
@@ -102,7 +139,7 @@ def history_audit(history: DataFrame, first_day, last_day, **entity) -> DataFram
     rows = history.where(F.col(COMMIT_DATE).between(first_day, last_day))
     for column, value in entity.items():
         rows = rows.where(F.col(column) == value)
-    return rows.orderBy("_commit_version")
+    return rows.orderBy(COMMIT_VERSION)
 
 
 def history_vs_scd2(history: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -300,10 +300,29 @@ ORACLE_SQL: dict[str, str] = {
             SELECT *, operation = 'DELETE' AS gone, LAG(operation = 'DELETE') OVER w AS p_gone,
                    LAG(segment) OVER w AS p_segment, LAG(tier) OVER w AS p_tier, LAG(note) OVER w AS p_note
             FROM raw_note WINDOW w AS (PARTITION BY user_id ORDER BY updated_at, _commit_version)))"""),
+    "drift_profile": sql("""
+        SELECT 'segment' AS "column", COUNT(*) AS rows, COUNT(segment) AS non_null_rows,
+               MIN(_commit_version) FILTER (WHERE segment IS NOT NULL) AS first_version,
+               TRUE AS distinct_near, NULL::BOOLEAN AS median_near FROM raw_note
+        UNION ALL SELECT 'tier', COUNT(*), COUNT(tier), MIN(_commit_version) FILTER (WHERE tier IS NOT NULL), TRUE, TRUE
+        FROM raw_note
+        UNION ALL SELECT 'note', COUNT(*), COUNT(note), MIN(_commit_version) FILTER (WHERE note IS NOT NULL), TRUE, NULL
+        FROM raw_note"""),
+    "profile_shift": sql(f"""
+        SELECT 'segment' AS "column", COUNT(segment) FILTER (WHERE _commit_version < {v(50)}) AS non_null_before, COUNT(segment) FILTER (WHERE NOT _commit_version < {v(50)}) AS non_null_after,
+               COUNT(segment) FILTER (WHERE _commit_version < {v(50)}) = 0 AS was_empty,
+               COUNT(DISTINCT segment) > COUNT(DISTINCT segment) FILTER (WHERE _commit_version < {v(50)}) AS has_new_values FROM raw_note
+        UNION ALL SELECT 'tier', COUNT(tier) FILTER (WHERE _commit_version < {v(50)}) AS non_null_before, COUNT(tier) FILTER (WHERE NOT _commit_version < {v(50)}) AS non_null_after,
+               COUNT(tier) FILTER (WHERE _commit_version < {v(50)}) = 0 AS was_empty,
+               COUNT(DISTINCT tier) > COUNT(DISTINCT tier) FILTER (WHERE _commit_version < {v(50)}) AS has_new_values FROM raw_note
+        UNION ALL SELECT 'note', COUNT(note) FILTER (WHERE _commit_version < {v(50)}) AS non_null_before, COUNT(note) FILTER (WHERE NOT _commit_version < {v(50)}) AS non_null_after,
+               COUNT(note) FILTER (WHERE _commit_version < {v(50)}) = 0 AS was_empty,
+               COUNT(DISTINCT note) > COUNT(DISTINCT note) FILTER (WHERE _commit_version < {v(50)}) AS has_new_values FROM raw_note"""),
     "incremental_slice": sql(f"SELECT * FROM feed WHERE _commit_version > {v(70)}"),
     "history_audit": sql(f"""
         SELECT * FROM ({HISTORY})
         WHERE commit_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND user_id = 7"""),
+    "entity_history": sql(f"SELECT * FROM ({HISTORY}) WHERE user_id = 7"),
     "null_semantics_diff": sql("""
         SELECT COALESCE(a.user_id, b.user_id) AS user_id, a.segment AS old_segment, b.segment AS new_segment
         FROM snap a FULL OUTER JOIN live b ON a.user_id = b.user_id
@@ -510,6 +529,16 @@ ORACLE_SQL: dict[str, str] = {
                           lag > 0 AND NOT COALESCE(next_retained, TRUE) AS lost, lag > 100 AS late FROM facts) f
           ON f.source = s.source
         JOIN source_progress p ON p.source = 'click'""", LEDGER),
+    "consumer_health": sql(f"""
+        SELECT consumer, 'users' AS source, last_version, top AS current_version, top - COALESCE(last_version, 0) AS lag,
+               CASE consumer WHEN 'archive' THEN 'OK' WHEN 'reports' THEN 'STALLED' ELSE 'NEVER_STARTED' END AS status,
+               concat_ws(',', CASE consumer WHEN 'reports' THEN 'STALLED'
+                              WHEN 'alerts' THEN 'NEVER_STARTED,FEED_DISABLED,VERSION_LOST' END,
+                         CASE WHEN top - COALESCE(last_version, 0) > 100 THEN 'HIGH_LAG' END) AS issues, total_rows
+        FROM (SELECT MAX(_commit_version) AS top FROM feed),
+             (SELECT 'archive' AS consumer, MAX(_commit_version) AS last_version, COUNT(*) AS total_rows FROM feed
+              UNION ALL SELECT 'reports', MAX(_commit_version), COUNT(*) FROM feed WHERE _commit_version <= {v(50)}
+              UNION ALL SELECT 'alerts', NULL, NULL)"""),
     "zone_shifts": f"""
         SELECT CAST(1 AS BIGINT) AS first_version, {v(30)} AS last_version, CAST(600 AS BIGINT) AS lag_minutes
         UNION ALL SELECT {v(30)} + 1, {TOP}, 0""",

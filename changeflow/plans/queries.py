@@ -17,12 +17,13 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from changeflow.contracts import DELETE, INSERT, POSTIMAGE, PREIMAGE
 from changeflow.functions import session_rules
 from changeflow.functions.compare import null_semantics_diff as differs
-from changeflow.operators import changes, history, quality, recovery, scd, security, state
+from changeflow.operators import changes, history, profile, quality, recovery, scd, security, state
 from changeflow.plans.batch import run_batch
 from changeflow.sources import commits as ledger
 from changeflow.sources import derived, feed as reading
 from changeflow.sources.storage import new_folder
 from changeflow.streaming import consumers, dimension
+from changeflow.streaming import progress as following
 from changeflow.streaming.sinks import Job, read_batches, read_feed_sink, run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,6 +324,52 @@ def drift_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.drift_impact(raw, raw_spec("segment"), ["tier", "note"], "_commit_version")
 
 
+PROFILED = ["segment", "tier", "note"]
+
+
+def stored_profile(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Raw events, and their profile in two ranges of versions, the second stored after the first."""
+    half, top = at(spark, sf_dir, 50), at(spark, sf_dir, 100)
+    raw = derived.raw_cdc(spark, sf_dir, note_from=half)
+    path = new_folder(spark, "profile")
+    for first, last in ((0, half - 1), (half, top)):
+        profile.store_profile(raw, path, first, last, PROFILED, block=max(1, top // 16))
+    return raw, path
+
+
+@query
+def drift_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged sketches of all ranges beside the exact figures: whether the estimates keep their errors."""
+    raw, path = stored_profile(spark, sf_dir)
+    merged = profile.merge_profiles(profile.read_profile(spark, path))
+    told = profile.profile_estimates(merged, [0.5]).withColumn("median", F.get("quantiles", F.lit(0)))
+    exact = raw.agg(*[F.countDistinct(c).alias(c) for c in PROFILED])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct")) for c in PROFILED])))
+    median = told.where("column = 'tier'").select("median").scalar()
+    ranks = raw.agg(*[F.avg((x).cast("double")) for x in (F.col("tier") < median, F.col("tier") <= median)]).toDF("below", "upto")
+    slack = 3 * profile.RANK_ERROR
+    near = ranks.select((F.col("below") <= 0.5 + slack) & (F.col("upto") >= 0.5 - slack)).scalar()
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct"))
+    return told.join(exact, "column").select(
+        "column", "rows", "non_null_rows", "first_version",
+        (off <= F.lit(3 * profile.DISTINCT_ERROR) * F.col("distinct") + 0.5).alias("distinct_near"),
+        F.when(F.col("quantiles").isNotNull(), near).alias("median_near"),
+    )
+
+
+@query
+def profile_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second half of the versions brought, from the two stored profiles alone."""
+    _, path = stored_profile(spark, sf_dir)
+    half = at(spark, sf_dir, 50)
+    before, after = profile.read_profile(spark, path, 0, half - 1), profile.read_profile(spark, path, half)
+    moved = profile.profile_shift(before, after)
+    return moved.select(
+        "column", "non_null_before", "non_null_after",
+        (F.col("distinct_before") == 0).alias("was_empty"), (F.col("new_values") > 0).alias("has_new_values"),
+    )
+
+
 @query
 def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     progress = spark.createDataFrame(
@@ -337,6 +384,14 @@ def history_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history_audit(stored, date(2024, 1, 10), date(2024, 1, 20), user_id=7)
 
 
+@query
+def entity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of one user, from a history laid out for lookups."""
+    path = new_folder(spark, "lookups")
+    history.write_for_lookups(capture_history(spark, sf_dir), path, KEYS)
+    return history.entity_history(spark.read.parquet(path), user_id=7)
+
+
 @query
 def null_semantics_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = snapshot_as_of(spark, sf_dir).alias("a")
@@ -767,6 +822,27 @@ def feed_health_unread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recovery.feed_health(commits, progress.unionByName(ghost)).drop("action")
 
 
+@query
+def consumer_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three consumers ought to run: one has read all, one stands still at half of the feed, one never started."""
+    feed, half = derived.user_feed(spark, sf_dir), at(spark, sf_dir, 50)
+    folder = new_folder(spark, "progress")
+    with following.keep_progress(spark, folder):
+        for consumer, rows in (("archive", feed), ("reports", reading.changes_between(feed, 0, half))):
+            path, job = stored_feed(spark, rows, "feed"), new_job(spark, consumer)
+            stream = reading.stream_changes(spark, path, feed.schema, 0, part_of_files(spark, 2))
+            consumers.append_available(following.watched(stream, consumer, "users"), job, KEYS)
+    expected = spark.createDataFrame(
+        [(c, "users") for c in ("archive", "reports", "alerts")], "consumer string, source string"
+    )
+    stored = new_folder(spark, "ledger")
+    derived.commits(spark, sf_dir).where("operation <> 'OPTIMIZE'").write.parquet(stored)
+    commits = spark.read.parquet(stored)
+    seen = following.read_progress(spark, folder)
+    told = following.consumer_health(commits, expected, seen, now=F.lit("2100-01-01").cast("timestamp"))
+    return told.drop("at", "error", "action").join(seen.select("consumer", "total_rows"), "consumer", "left")
+
+
 @query
 def evolve_dim2(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = derived.raw_cdc(spark, sf_dir, note_from=at(spark, sf_dir, 50))
