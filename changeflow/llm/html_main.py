@@ -6,6 +6,9 @@ like is bad; else length, share of stop words and share of linked text make it g
 nearly good, poor or short.  The second pass gives the undecided blocks the label of their nearest
 decided neighbours.  Where a page marks its article and good text stands in the mark (or nowhere),
 undecided blocks are decided by whether they stand inside it; good and bad ones keep their label.
+Linked blocks inside the mark stay where they stand between good ones, such as a list of links in the text.
+A page whose long blocks hold next to none of the known stop words is in another language: there length and
+share of linked text decide alone.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from changeflow.llm.common import type_of
 SHORT, LONG = 70, 200
 #: Shares of stop words from which a block is nearly good and good; share of linked text from which it is bad.
 SOME_STOP_WORDS, MANY_STOP_WORDS, MOST_LINKED = 0.10, 0.18, 0.4
+#: Below this share of stop words in all its blocks that are not short, a page is in none of the known languages.
+NO_STOP_WORDS = 0.10
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
@@ -67,19 +72,26 @@ BESIDE = frozenset(
     """
     site main page global top bottom left right primary secondary first last inner outer wrapper wrap container box
     block area section region zone list links link bar item items text form inline col column row mobile desktop fixed
+    body content author meta thread
     """.split()
 )
+# Words that make reader comments of any name that ends in them ("post-comments"), unless it denies them.
+COMMENTS = frozenset(["comment", "comments"])
+DENIES = frozenset("no not non without has with hide hidden disable disabled allow".split())
 #: Regions in one another that are told apart; deeper ones belong to the last of these.
 DEEP = 64
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<opaque>{'|'.join(OPAQUE.split())})(?=[\s/>])[^>]*>.*?(?:</(?P=opaque)\s*>|\Z)"
+    rf"|<(?P<opaque>{'|'.join(OPAQUE.split())})(?=[\s/>])(?P<own>[^>]*)>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+_CLOSES = {name: re.compile(rf"</{name}\s*>", re.I) for name in OPAQUE.split()}
+# Tags that may close themselves, and tags whose content is code even if nothing closes them.
+SELF_CLOSED, CODE = frozenset(["svg", "math"]), frozenset(["script", "style"])
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _RIGHTS = re.compile(r"©|\ball rights reserved\b|\balle rechte vorbehalten\b|\btous droits r", re.I)
@@ -105,9 +117,26 @@ def _names(value: str) -> bool:
         words = [x for x in re.split(r"[-_]+", name) if x and not x.isdigit()]
         if not DECLARED.isdisjoint(words) and all(x in DECLARED or x in BESIDE for x in words):
             return True
+        last = max((i for i, x in enumerate(words) if x in COMMENTS), default=None)
+        if last is not None and DENIES.isdisjoint(words) and all(x in BESIDE for x in words[last + 1 :]):
+            return True
     return False
 
 
+def _after(html: str, name: str, own: str, at: int, open_ended: set[str]) -> int:
+    """Where the content of an opaque tag ends.  A tag that nothing closes hides itself only, unless it holds code.
+
+    `open_ended` keeps the names without an end further on, so that a page is searched for it once.
+    """
+    if name in SELF_CLOSED and own.rstrip().endswith("/"):
+        return at
+    found = None if name in open_ended else _CLOSES[name].search(html, at)
+    if found:
+        return found.end()
+    open_ended.add(name)
+    return len(html) if name in CODE else at
+
+
 def _declared(rest: str) -> bool:
     if not rest:
         return False
@@ -152,13 +181,15 @@ def blocks(html: str) -> list[Block]:
                 linked += len(piece)
 
     at = 0
-    for token in _TOKEN.finditer(html):
+    open_ended: set[str] = set()
+    while token := _TOKEN.search(html, at):
         add(html[at : token.start()])
         at = token.end()
         name = (token["tag"] or "").lower()
         if not name:
             if token["opaque"]:
                 parts.append(" ")
+                at = _after(html, token["opaque"].lower(), token["own"], at, open_ended)
             continue
         ends = bool(token["end"])
         if name == "a":
@@ -209,7 +240,8 @@ def _unbar(page: list[Block], parents: list[int], articles: list[int]) -> None:
     """Opens regions that hold the page's only article, with good text in it, or most of the good text of a page without one."""
     if not parents or all(block.region < 0 for block in page):
         return
-    good = [len(block.text) if _alone(block, False) == "good" else 0 for block in page]
+    known = _known(page)
+    good = [len(block.text) if _alone(block, known, False) == "good" else 0 for block in page]
     within, marked = [0] * len(parents), 0
     for block, size in zip(page, good):
         marked += size * block.inside
@@ -233,14 +265,17 @@ def _unbar(page: list[Block], parents: list[int], articles: list[int]) -> None:
 
 def classify(page: list[Block]) -> list[bool]:
     """Whether each block is main text."""
+    known = _known(page)
     for block in page:
-        block.label = _alone(block)
+        block.label = _alone(block, known)
     # An article mark counts if good text stands in it, or nowhere: articles may be teasers beside the text.
     good = [block.inside for block in page if block.label == "good"]
     marked = any(good) or (not good and any(block.inside and not block.barred for block in page))
     for block in page:
         if marked and block.label in ("near", "poor", "short"):  # in a marked article, few stop words are no fault
             block.label = "good" if block.inside else "bad"
+        elif block.label == "linked" and not (marked and block.inside):
+            block.label = "bad"
     # What stands in a declared region is no part of the text's flow: such blocks are no neighbours.
     flow = [i for i, block in enumerate(page) if block.label in ("good", "bad") and not block.barred]
     keep = []
@@ -252,24 +287,44 @@ def classify(page: list[Block]) -> list[bool]:
         before = page[flow[at - 1]].label if at else "bad"  # above the first decided block stand headers
         after = page[flow[at]].label if at < len(flow) else before
         heading = block.tag[:1] == "h" and block.tag[1:].isdigit()
-        if block.label == "near" or heading:
+        if block.label == "linked":
+            keep.append(before == after == "good" and page[flow[at - 1]].inside and page[flow[at]].inside)
+        elif block.label == "near" or heading:
             keep.append("good" in (before, after) or not flow)
         else:
             keep.append(before == after == "good")
     return keep
 
 
-def _alone(block: Block, barring: bool = True) -> str:
-    """good, bad, near (nearly good), poor in stop words or short, by the block itself and, if barring, its region."""
+def _stop_words(text: str) -> tuple[int, int]:
+    words = _WORDS.findall(text.lower())
+    return sum(word in STOP_WORDS for word in words), len(words)
+
+
+def _known(page: list[Block]) -> bool:
+    """Whether the page's text, all blocks that are neither short nor linked, is in a language of the stop words."""
+    counts = [_stop_words(x.text) for x in page if len(x.text) >= SHORT and x.linked <= MOST_LINKED * len(x.text)]
+    return sum(stop for stop, _ in counts) >= NO_STOP_WORDS * sum(words for _, words in counts)
+
+
+def _alone(block: Block, known: bool, barring: bool = True) -> str:
+    """good, bad, linked, near (nearly good), poor in stop words or short.
+
+    By the block itself and, if barring, its region; of a page in no known language stop words say nothing.
+    """
     size = len(block.text)
-    if (barring and block.barred) or block.linked > MOST_LINKED * size:
+    if barring and block.barred:
         return "bad"
-    words = _WORDS.findall(block.text.lower())
-    share = sum(word in STOP_WORDS for word in words) / max(1, len(words))
+    if block.linked > MOST_LINKED * size:
+        return "linked"
     if size < LONG and not block.inside and _RIGHTS.search(block.text):
         return "bad"
     if size < SHORT:
-        return "bad" if block.linked else "short"
+        return "linked" if block.linked else "short"
+    if not known:
+        return "good" if size > LONG else "near"
+    stop, words = _stop_words(block.text)
+    share = stop / max(1, words)
     if share >= MANY_STOP_WORDS:
         return "good" if size > LONG else "near"
     return "near" if share >= SOME_STOP_WORDS else "poor"

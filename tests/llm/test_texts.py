@@ -283,3 +283,53 @@ def test_pages(spark, sf_dir):
     assert found == [(1, "", 0), (2, "", 0), (3, "", 0), (4, "a <b> é", 7), (4, "a <b> é", 7), (5, "word word word word ", 449999)]
     assert html_main.extract(pages.limit(0)).count() == 0
     assert QUERIES["op7_html_extraction"](spark, sf_dir).where("n_chars > 0").count() > 0
+
+
+@pytest.mark.parametrize("hidden", ["<svg class='i'/>", "<math/>", "<iframe src='x'>", "<canvas>", "<button>", "<SVG a='b' />"])
+def test_a_tag_that_nothing_closes_hides_itself_only(hidden):
+    body = f"<article><p>{STORY} 1</p>{hidden}<p>{STORY} 2</p></article>"
+    assert html_main.main_text(f"<html><body>{body}</body></html>") == f"{STORY} 1\n\n{STORY} 2"
+    closed = f"<article><p>{STORY} 1</p><svg><text>no</text></svg><p>{STORY} 2</p></article>"
+    assert html_main.main_text(closed) == f"{STORY} 1\n\n{STORY} 2"
+
+
+def test_many_unclosed_tags_take_one_search():
+    assert html_main.main_text("<button>" * 200_000 + f"<p>{STORY}</p>") == STORY
+
+
+# A few sentences each, long enough for a block; the stop words of none of them are known.
+FOREIGN = {
+    "ru": "Вчера вечером жители города собрались на площади, чтобы обсудить новый план строительства моста через реку. ",
+    "pl": "Wczoraj wieczorem mieszkańcy miasta zebrali się, żeby omówić nowy plan budowy mostu nad rzeką. ",
+    "tr": "Dün akşam kent sakinleri nehrin üzerine yapılacak yeni köprüyü görüşmek için meydanda toplandı. ",
+    "fi": "Eilen illalla kaupungin asukkaat kokoontuivat torille keskustelemaan uuden sillan rakentamisesta. ",
+    "el": "Χθες το βράδυ κάτοικοι της πόλης συγκεντρώθηκαν για να συζητήσουν το νέο σχέδιο της γέφυρας. ",
+    "zh": "昨天晚上市民聚集在广场上讨论在河上修建新桥的计划市长说这座桥将在三年内完工居民们对此表示欢迎。",
+    "hu": "Tegnap este sokan gyűltek össze, hogy megvitassák az új híd építését; polgármesterünk részletesen válaszolt. ",
+    "vi": "Tối qua người dân thành phố đã tập trung tại quảng trường để bàn về kế hoạch xây cầu mới qua sông. ",
+}
+
+
+@pytest.mark.parametrize("lang", FOREIGN)
+def test_pages_in_other_languages_keep_their_text(lang):
+    text = (FOREIGN[lang] * 6).strip()
+    menu = "<ul>" + "".join(f"<li><a href=x>{FOREIGN[lang][:12]}{i}</a></li>" for i in range(9)) + "</ul>"
+    page = f"<html><body>{menu}<div><h1>{FOREIGN[lang][:20].strip()}</h1><p>{text}</p><p>{text}</p></div>{menu}</body></html>"
+    assert html_main.main_text(page) == f"{FOREIGN[lang][:20].strip()}\n\n{text}\n\n{text}"
+
+
+@pytest.mark.parametrize("name", ["post-comments", "user-comments", "article_comments_list", "comment-content", "fb-comments"])
+def test_reader_comments_by_any_name_are_out(name):
+    page = f"<body><article><p>{STORY} 1</p></article><div class='{name}'><p>{STORY} 2</p></div></body>"
+    assert html_main.main_text(page) == f"{STORY} 1"
+
+
+@pytest.mark.parametrize("name", ["comments-open", "no-comments", "has-comments", "uncommented"])
+def test_names_that_only_mention_comments_stay(name):
+    assert html_main.main_text(f"<body><article class='{name}'><p>{STORY} 1</p></article></body>") == f"{STORY} 1"
+
+
+def test_a_list_of_links_inside_the_text_stays_and_one_after_it_goes():
+    links = "<ul><li><a href=a>First report</a></li><li><a href=b>Second report</a></li></ul>"
+    page = f"<body><article><p>{STORY} 1</p>{links}<p>{STORY} 2</p>{links}</article>{links}</body>"
+    assert html_main.main_text(page) == f"{STORY} 1\n\nFirst report\n\nSecond report\n\n{STORY} 2"
