@@ -4,11 +4,12 @@ Every unit vector is projected on many random lines.  On a line, two vectors col
 values lie in one window centred on either of them.  Vectors as close as the threshold asks
 collide on a known share of the lines, and the count that a pair must reach is calibrated so
 that such a pair passes with a given probability.  Pairs that pass are verified by their exact
-cosine, so no link below the threshold is ever made.
+cosine, so no link below the threshold is ever made; links found on the way stay, whatever their count.
 
 The order of the first line also deals the work out: it is cut into blocks of equal size, and
 two blocks meet unless their value ranges lie further apart than close vectors can.  A task
-takes two blocks and counts in them, and it gives one number of links per vector and a
+takes two blocks and counts in them on all lines, value by value (only the first line is kept in sorted order:
+a window holds near half of the vectors of a block, so that sorting the others saves nothing), and it gives one number of links per vector and a
 spanning forest of the links, never the pairs themselves.  Equal vectors are one class.
 """
 
@@ -227,18 +228,24 @@ def _count(
     if not left or not width:
         return n, labels
     step = max(1, STEP // width)
+    # Which vectors have a pair that passes; the same for both sides of a pair, whatever the step it lies in.
+    some, partners = np.zeros(left, bool), np.zeros(width, bool)
     for at in range(0, left, step):
         hits = np.zeros((min(step, left - at), width), np.uint8)
         for line in range(lines):
             gap = first[line, at : at + step, None] - partner[line][None, :]
             hits += np.abs(gap, out=gap) <= 9
         passed = hits >= windows.count
-        rows, columns = np.flatnonzero(passed.any(axis=1)), np.flatnonzero(passed.any(axis=0))
-        if not len(rows):
-            continue
-        exact = x[at + rows] @ x[others][columns].T >= cosine
-        i, j = np.nonzero(exact & passed[np.ix_(rows, columns)])
-        i, j = at + rows[i], (0 if same else left) + columns[j]
+        if same:  # every vector passes with itself
+            passed[np.arange(len(hits)), at + np.arange(len(hits))] = False
+        some[at : at + step] |= passed.any(axis=1)
+        partners |= passed.any(axis=0)
+    rows, columns = np.flatnonzero(some), np.flatnonzero(partners)
+    step = max(1, STEP // max(1, len(columns)))
+    for at in range(0, len(rows), step):
+        # All pairs of such vectors get their cosine, and a link that it finds stays, whatever its own count.
+        i, j = np.nonzero(x[rows[at : at + step]] @ x[others][columns].T >= cosine)
+        i, j = rows[at + i], (0 if same else left) + columns[j]
         i, j = i[i != j], j[i != j]
         n += np.bincount(i, copies[j], len(x)).astype(np.int64)
         if not same:

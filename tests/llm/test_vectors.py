@@ -110,3 +110,22 @@ def test_chi_square():
     rng = np.random.default_rng(0)
     draws = (rng.standard_normal((200000, 8)) ** 2).sum(axis=1)
     assert (draws <= ann.chi_square_quantile(8, 0.97)).mean() == pytest.approx(0.97, abs=0.003)
+
+
+def test_planted_links_just_above_the_threshold_are_found_from_both_sides():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cosines = rng.uniform(0.9005, 0.95, 1500)
+    side = rng.standard_normal((1500, 64))
+    side -= (side * x[:1500]).sum(axis=1, keepdims=True) * x[:1500]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x[1500:] = cosines[:, None] * x[:1500] + np.sqrt(1 - cosines**2)[:, None] * side
+    windows = embed_dedup.Windows(0.9)
+    ones = np.ones(len(x), np.int64)
+    n, labels = embed_dedup._count(x, ones, len(x), True, 0.9, windows, embed_dedup.LINES)
+    truth = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert n.sum() % 2 == 0 and n.sum() >= 0.99 * truth.sum() and (n <= truth).all()
+    assert (labels == np.arange(len(x)))[:1500].all() and (labels != np.arange(len(x))).sum() * 2 == n.sum()
+    split = embed_dedup._count(x, ones, 1500, False, 0.9, windows, embed_dedup.LINES)[0]
+    assert split[:1500].sum() == split[1500:].sum() >= 0.99 * 1500
