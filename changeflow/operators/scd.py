@@ -140,39 +140,57 @@ def scd2_step(dim: DataFrame, batch: DataFrame, spec: Scd2) -> DataFrame:
     Closes changed rows, adds a row per new or changed incoming row, closes deleted
     rows, in that order.  It compares with the stored current row only: several
     changes of one key in a batch make several current rows, which
-    `duplicate_current` shows.  `apply_changes_scd2` has no such condition.
+    `duplicate_current` shows.  `apply_changes_scd2` has no such condition.  A row of
+    the batch without a time fails the job.
 
-    Rows that are not current cannot change: they go around all joins.
+    The batch meets the current rows once, which tells per key when it closes and when it
+    is deleted; current and incoming rows together then take these moments in a second
+    join.  Rows that are not current cannot change: they go around both.
     """
     keys, at = list(spec.keys), spec.sequence[0]
+    columns = [*keys, *spec.track, "start_date", "end_date", "is_current"]
     live = F.coalesce(F.col("is_current"), F.lit(False))
-    past = dim.where(~live).select(*keys, *spec.track, "start_date", "end_date", "is_current")
-    dim = dim.where(live)
-    incoming = batch.withColumn("gone", spec.gone())
-    alive, dead = incoming.where(~F.col("gone")), incoming.where("gone")
-    # One closing time per key: the earliest change, and the latest delete.
-    changing = match_current(alive, dim, keys, spec.track, "inner")
-    closed = _close_current(dim, changing.groupBy(*keys).agg(F.min(at).alias("closed_at")), spec)
-    # Against the rows still current: a key that was just closed takes all its incoming rows.
-    added = match_current(alive, closed, keys, spec.track, "left").select(
+    current = dim.where(live).select(*columns)
+    text = F.lit(f"the sequence ['{at}'] is NULL in a row of the batch")
+    incoming = batch.select(
+        *keys,
+        *[c for c in dict.fromkeys(spec.track) if c != at],
+        F.coalesce(F.col(at), F.raise_error(text).cast(batch.schema[at].dataType)).alias(at),
+        spec.gone().alias("gone"),
+    )
+    moments = _moments(incoming, current, spec)
+    opened = incoming.where(~F.col("gone")).select(
         *keys,
         *spec.track,
         F.col(at).alias("start_date"),
         F.lit(None).cast(dim.schema["end_date"].dataType).alias("end_date"),
         F.lit(True).alias("is_current"),
+        F.lit(True).alias("incoming"),
+    )
+    rows = current.withColumn("incoming", F.lit(False)).unionByName(opened).join(moments, keys, "left")
+    # Once a key's row is closed, or if it had none, all its incoming rows are versions.
+    fresh = ~F.coalesce(F.col("known"), F.lit(False)) | F.col("closed_at").isNotNull()
+    ended = F.when(F.col("incoming"), F.col("deleted_at")).otherwise(F.coalesce("closed_at", "deleted_at"))
+    return (
+        rows.where(~F.col("incoming") | fresh)
+        .withColumn("is_current", ended.isNull())
+        .withColumn("end_date", F.coalesce(ended, F.col("end_date")))
+        .select(*columns)
+        .unionByName(dim.where(~live).select(*columns))
     )
-    deleting = dead.groupBy(*keys).agg(F.max(at).alias("closed_at"))
-    return _close_current(closed.unionByName(added), deleting, spec).unionByName(past)
 
 
-def _close_current(dim: DataFrame, moments: DataFrame, spec: Scd2) -> DataFrame:
-    ends = F.col("is_current") & F.col("closed_at").isNotNull()
-    return dim.join(moments, list(spec.keys), "left").select(
-        *spec.keys,
-        *spec.track,
-        "start_date",
-        F.when(ends, F.col("closed_at")).otherwise(F.col("end_date")).alias("end_date"),
-        (F.col("is_current") & ~ends).alias("is_current"),
+def _moments(incoming: DataFrame, current: DataFrame, spec: Scd2) -> DataFrame:
+    """Per key of the batch: whether a current row is known, its earliest change, the latest delete."""
+    keys, at = list(spec.keys), F.col(f"i.{spec.sequence[0]}")
+    stored = current.select(*keys, F.struct(*spec.track).alias("now"))
+    met = incoming.alias("i").join(stored.alias("d"), keys_match("i", "d", keys), "left")
+    known, gone = F.col("d.now").isNotNull(), F.col("i.gone")
+    changed = any_differs([(F.col(f"i.{c}"), F.col(f"d.now.{c}")) for c in spec.track])
+    return met.groupBy(*[F.col(f"i.{k}").alias(k) for k in keys]).agg(
+        F.bool_or(known).alias("known"),
+        F.min(F.when(known & ~gone & changed, at)).alias("closed_at"),
+        F.max(F.when(gone, at)).alias("deleted_at"),
     )
 
 

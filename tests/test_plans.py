@@ -73,3 +73,19 @@ def test_apply_shuffles_state_and_batch_once(stored):
 def test_change_types_reach_the_scan(stored):
     rows = changes.filter_change_type(stored[1], ["insert", "delete"]).select("machine_id", F.lit(1))
     assert "PushedFilters: [In(_change_type, [delete,insert])]" in plan_of(rows)
+
+
+def test_a_step_joins_twice(spark):
+    spec = scd.Scd2(["k"], ["at"], ["v"], "op = 'D'")
+    dims, batches = new_folder(spark, "plan-step-dim"), new_folder(spark, "plan-step-batch")
+    spark.range(50).selectExpr("id AS k", "'a' AS v", "1 AS start_date", "CAST(NULL AS INT) AS end_date", "true AS is_current").write.parquet(dims)
+    spark.range(50).selectExpr("id AS k", "'b' AS v", "'U' AS op", "2 AS at").write.parquet(batches)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stepped = scd.scd2_step(spark.read.parquet(dims), spark.read.parquet(batches), spec)
+        plan = plan_of(stepped)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2
+    assert exchanges(stepped) <= 3

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -201,3 +202,39 @@ def test_zone_offsets_are_read_from_text(spark):
 def test_backfill_drift_is_empty_for_equal_dimensions(spark):
     dim = scd.apply_changes_scd2(seed_cdc(spark), SPEC)
     assert scd.backfill_drift(dim, dim, ["machine_id"], "__START_VERSION", "__START_AT").isEmpty()
+
+
+def stepped_plainly(dim, batch):
+    """The step on lists of (key, value, start, end, current) and (key, value, kind, time), change by change."""
+    alive, dead = [b for b in batch if b[2] != "D"], [b for b in batch if b[2] == "D"]
+    closing = {}
+    for k, value, _, time in alive:
+        if any(d[0] == k and d[4] and d[1] != value for d in dim):
+            closing[k] = min(time, closing.get(k, time))
+    dim = [(*d[:3], closing[d[0]], False) if d[4] and d[0] in closing else d for d in dim]
+    open_keys = {d[0] for d in dim if d[4]}
+    dim = dim + [(k, value, time, None, True) for k, value, _, time in alive if k not in open_keys]
+    last = {k: max(b[3] for b in dead if b[0] == k) for k in {b[0] for b in dead}}
+    return [(*d[:3], last[d[0]], False) if d[4] and d[0] in last else d for d in dim]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_manual_step_equals_a_plain_one(spark, seed):
+    chance = random.Random(seed)
+    value = lambda: chance.choice(["a", "b", "c", None])
+    dim = [(k, value(), 1, None, True) for k in range(60)] + [(k, value(), 0, 1, False) for k in range(0, 80, 3)]
+    batch = [(chance.randrange(90), value(), chance.choice("IUUD"), 10 + i) for i in range(120)]
+    batch += [(7, "x", "U", 500 + i) for i in range(200)]  # one key holds most of the batch
+    found = scd.scd2_step(
+        spark.createDataFrame(dim, "k bigint, v string, start_date int, end_date int, is_current boolean"),
+        spark.createDataFrame(batch, "k bigint, v string, op string, at int"),
+        scd.Scd2(["k"], ["at"], ["v"], "op = 'D'"),
+    )
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(stepped_plainly(dim, batch), key=repr)
+
+
+def test_manual_step_needs_times(spark):
+    dim = spark.createDataFrame([], "k bigint, v string, start_date int, end_date int, is_current boolean")
+    batch = spark.createDataFrame([(1, "a", "I", None)], "k bigint, v string, op string, at int")
+    with pytest.raises(Exception, match="is NULL in a row of the batch"):
+        scd.scd2_step(dim, batch, scd.Scd2(["k"], ["at"], ["v"], "op = 'D'")).collect()
