@@ -52,6 +52,14 @@ def learnable(ids: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(ids.cast("string")), F.lit(3)) != HELD_OUT, F.lit(False))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

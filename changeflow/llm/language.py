@@ -17,10 +17,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import learnable, parts
+from changeflow.llm.common import learnable, parts, unused
 
 GRAMS, BUCKETS = 4, 1 << 15
 #: Documents to learn from, on average and over all languages, and landmarks among them.
@@ -114,7 +115,7 @@ def fit(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(
             (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "lang", "text")))),
-            key=lambda row: (row[0] * 0x9E3779B97F4A7C15 % (1 << 64), row),
+            key=lambda row: (_draw(row[0]), row),
         )
         model = train([row[2] for row in rows], [row[1] for row in rows])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
@@ -124,8 +125,19 @@ def fit(
     return pickle.loads(row[0]) if row else train([], [])
 
 
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and lang_score, from the whole text and nothing else.
+def _draw(ident: object) -> int:
+    """A number that mixes the order of ids of any type."""
+    number = ident if isinstance(ident, int) else xxhash.xxh64_intdigest(str(ident), SEED)
+    return number * 0x9E3779B97F4A7C15 % (1 << 64)
+
+
+def identify(
+    docs: DataFrame,
+    model: tuple[list[str], np.ndarray],
+    text_col: str = "text",
+    into: tuple[str, str] = ("lang_pred", "lang_score"),
+) -> DataFrame:
+    """docs with the language and its score, from the whole text and nothing else, in the columns `into`.
 
     Null texts and texts without a letter are `und` with score 0, and so is every text if there
     was no language to learn.  All columns and rows are kept; columns of these names are replaced.
@@ -144,7 +156,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                 }
             )
 
-    named = docs.withColumn("_predicted", predict.asNondeterministic()(F.col(text_col).cast("string")))
-    return named.withColumns(
-        {"lang_pred": F.col("_predicted.lang_pred"), "lang_score": F.col("_predicted.lang_score")}
-    ).drop("_predicted")
+    predicted = unused(docs, "_predicted")
+    named = docs.withColumn(predicted, predict.asNondeterministic()(F.col(text_col).cast("string")))
+    found = F.col(predicted)
+    return named.withColumns({into[0]: found["lang_pred"], into[1]: found["lang_score"]}).drop(predicted)

@@ -185,20 +185,22 @@ def _last(rest: DataFrame) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of docs, each as often as the mix takes it; no other columns.
+    """The rows of docs, each as often as the mix takes it; no other columns, which may have any names.
 
-    Rows that repeat an id are matched with their decisions in order of source and text.
+    Rows that repeat an id are matched with their decisions in order of source and size, null
+    sources first.  Null and wordless texts are never taken; an empty table gives no rows.
     """
     decided = mix(docs, id_col, text_col, source_col)
     listed = decided.groupBy(F.col("doc_id").alias("_id")).agg(
         F.sort_array(F.collect_list(F.struct("source", "size", "copies"))).alias("_decisions")
     )
-    size = word_count(F.col(text_col).cast("string"))
-    order = Window.partitionBy(id_col).orderBy(F.col(source_col).cast("string"), size)
-    placed = docs.withColumn("_place", F.row_number().over(order))
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    ident, source, text = (F.col("_row").getField(c) for c in (id_col, source_col, text_col))
+    order = Window.partitionBy(ident).orderBy(source.cast("string"), word_count(text.cast("string")))
+    placed = whole.withColumn("_place", F.row_number().over(order))
     return (
-        placed.join(listed, placed[id_col].eqNullSafe(listed["_id"]))
+        placed.join(listed, ident.eqNullSafe(F.col("_id")))
         .withColumn("_copies", F.element_at("_decisions", F.col("_place"))["copies"])
         .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
-        .select(docs.columns)
+        .select("_row.*")
     )

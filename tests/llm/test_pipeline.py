@@ -4,6 +4,7 @@ from collections import Counter
 
 import corpus_pipeline as pipeline
 import pytest
+from pyspark.sql import functions as F
 
 LARGER = "/root/testdata/sf0.01"
 
@@ -37,3 +38,21 @@ def test_each_stage_decides(spark, steps):
 
 def test_run_gives_the_last_stage(spark, steps):
     assert pipeline.run(spark, LARGER).columns == steps[-1].columns
+
+
+def test_stages_keep_clashing_columns_and_stand_odd_rows(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ["lang_pred", "lang_score", "_toxicity", "_lang", "_score", "_place", "_copies", "_copy", "_id", "_row", "_text", "_set", "_size", "_one"]
+    odd = docs.limit(1).withColumn("doc_id", F.lit(-1)).withColumn("text", F.lit(None).cast("string"))
+    odd = odd.union(odd.withColumn("text", F.lit(""))).union(docs.where("doc_id < 3")).union(docs.limit(1).withColumn("source", F.lit(None).cast("string")))
+    wide = docs.union(odd)
+    for i, name in enumerate(names):
+        wide = wide.withColumn(name, F.lit(i))
+    step = wide
+    for _, stage in pipeline.STAGES[:-1]:
+        step = stage(spark, step, folder).cache()
+        assert step.columns == wide.columns and step.count() > 0
+        assert step.select(*names).distinct().collect() == [tuple(range(len(names)))]
+        assert stage(spark, wide.limit(0), folder).collect() == []
+    assert pipeline.STAGES[-1][1](spark, step, folder).count() >= step.count()

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from compare import connect, difference
 
 from changeflow.llm import chat, html_main, language, licenses, toxicity
@@ -56,6 +57,15 @@ def test_language_edges(spark):
     assert language.identify(empty, language.fit(empty)).count() == 0
     unknown = language.identify(docs, language.fit(empty)).collect()
     assert {r.lang_pred for r in unknown} == {"und"}
+    named = language.identify(docs.withColumn("_predicted", F.lit(7)), language.fit(docs), into=("a", "b"))
+    assert {r._predicted for r in named.collect()} == {7} and named.columns[-2:] == ["a", "b"]
+
+
+def test_language_takes_ids_of_any_type(spark):
+    known = spark.read.parquet(f"{LARGER}/documents.parquet").select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "lang", "text")
+    out = language.identify(known, language.fit(known)).where("lang_score > 0.6")
+    right = out.where("lang = lang_pred").count()
+    assert right > 0.9 * out.where("lang is not null").count() > 0
 
 
 def test_toxicity_held_out(spark):
