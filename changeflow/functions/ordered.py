@@ -10,6 +10,9 @@ and the result is the same.
 
 The limit is `changeflow.hotKeyRows` of the session.  The number of cuts is
 bounded whatever the data size, because the limit rises to total / MAX_PARTS.
+A task sorts all rows of its parts, a few hundred bytes each, so parts are dealt to
+twice as many tasks as there are parts: sized by bytes, a task gets as many parts
+as narrow rows compress to.
 """
 
 from __future__ import annotations
@@ -20,12 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_KEY_ROWS_CONF = "changeflow.hotKeyRows"
-HOT_KEY_ROWS = 5_000_000
+HOT_KEY_ROWS = 250_000
 MAX_PARTS = 10_000
 POINTS_PER_PART = 50
 
 _SEED = 11
-_HASH, _HOT, _PART, _EDGE = "__key_hash", "__hot", "__part", "__edge"
+_HASH, _HOT, _PART, _DEAL, _EDGE = "__key_hash", "__hot", "__part", "__deal", "__edge"
 
 
 class KeyOrder:
@@ -40,7 +43,7 @@ class KeyOrder:
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
         self.keys = list(keys)
         self.order = list(order)
-        self.cuts, self.steps = _hot_key_cuts(df, self.keys, self.order)
+        self.cuts, self.steps, self.tasks = _hot_key_cuts(df, self.keys, self.order)
 
     def with_previous(self, df: DataFrame, columns: Sequence[str], into: str) -> DataFrame:
         """Add `into`: the struct of `columns` on the row just before, NULL on the first row."""
@@ -59,19 +62,22 @@ class KeyOrder:
         return self._carry(df, value, into, "last")
 
     def finish(self, df: DataFrame) -> DataFrame:
-        return df.drop(_HOT, _PART)
+        return df.drop(_HOT, _PART, _DEAL)
 
     def _carry(self, df: DataFrame, value: Column, into: str, kind: str) -> DataFrame:
         keys, order = self.keys, self.order
         if self.cuts is None:
             return df.withColumn(into, _over(value, kind, _window(keys, order)))
 
-        parted = df
+        # The mark belongs to the window keys so that the filter on it passes the window, the hash
+        # so that rows stay where they were dealt to, also if the optimizer drops a constant key.
+        by_part = [*keys, _HOT, _PART, _DEAL]
+        parted = dealt = df
         if _PART not in df.columns:
             parted = _with_part(df, keys, order, self.cuts, self.steps)
-        # The mark belongs to the window keys so that the filter on it passes the window.
-        by_part = [*keys, _HOT, _PART]
-        local = parted.withColumn(into, _over(value, kind, _window(by_part, order)))
+            parted = parted.withColumn(_DEAL, F.xxhash64(*keys, _HOT, _PART))
+            dealt = parted.repartition(self.tasks, _DEAL)
+        local = dealt.withColumn(into, _over(value, kind, _window(by_part, order)))
         # One row per part of a cut key: at most 2 * MAX_PARTS rows, hence the broadcast.
         edges = (
             parted.where(F.col(_HOT))
@@ -145,18 +151,19 @@ def _key_hash(keys: Sequence[str]) -> Column:
 
 def _hot_key_cuts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str]
-) -> tuple[DataFrame | None, int]:
+) -> tuple[DataFrame | None, int, int]:
     """(key hash, sorted cut points) of the keys above the limit, or None without such keys.
 
-    With it comes the number of binary search steps that the longest list takes.
+    With it come the number of binary search steps that the longest list takes and the
+    number of tasks for the parts.
     """
     counts = df.groupBy(_key_hash(keys).alias(_HASH)).agg(F.count("*").alias("n"))
     top = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
     if top["largest"] is None:
-        return None, 0
+        return None, 0, 0
     limit = max(hot_key_rows(df), -(-top["total"] // MAX_PARTS))
     if top["largest"] <= limit:
-        return None, 0
+        return None, 0, 0
 
     # A cut point is a place in the sequence, found among rows picked at random, so that a
     # place is picked as often as it has rows: every `gap`-th pick ends a part of about
@@ -181,7 +188,8 @@ def _hot_key_cuts(
     # As a small local table the cuts agree in every later use, also after a lost task.
     rows = points.collect()
     most = max((len(r["cuts"]) for r in rows), default=0)
-    return df.sparkSession.createDataFrame(rows, points.schema), most.bit_length()
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * -(-top["total"] // limit))
+    return df.sparkSession.createDataFrame(rows, points.schema), most.bit_length(), tasks
 
 
 def _with_part(
@@ -190,9 +198,13 @@ def _with_part(
     """Add whether the key is cut, and the part: 0 for ordinary keys, 1.. along a cut key.
 
     The part is one more than the number of cuts <= the row's place, found by binary
-    search with one projection per step, which stays in generated code.
+    search with one projection per step, which stays in generated code.  A place of one
+    column is compared as such, for which far less code is generated; NULL comes before all cuts.
     """
     place = F.struct(*order)
+    if len(order) == 1:
+        place = F.col(order[0])
+        cuts = cuts.withColumn("cuts", F.array_compact(F.col("cuts").getField(order[0])))
     found = (
         df.withColumn(_HASH, _key_hash(keys))
         .join(F.broadcast(cuts), _HASH, "left")
