@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 HOT_KEY_ROWS_CONF = "changeflow.hotKeyRows"
 HOT_KEY_ROWS = 250_000
 MAX_PARTS = 10_000
+# Fewer rows are not worth a task of their own, whatever the limit.
+TASK_ROWS = 1_000
 POINTS_PER_PART = 50
 
 _SEED = 11
@@ -188,7 +190,8 @@ def _hot_key_cuts(
     # As a small local table the cuts agree in every later use, also after a lost task.
     rows = points.collect()
     most = max((len(r["cuts"]) for r in rows), default=0)
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * -(-top["total"] // limit))
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(shuffles, 2 * -(-top["total"] // max(limit, TASK_ROWS)))
     return df.sparkSession.createDataFrame(rows, points.schema), most.bit_length(), tasks
 
 
