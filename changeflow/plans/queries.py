@@ -298,7 +298,10 @@ def changed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def partial_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes that carry changed columns only, folded in three parts that cut across keys and versions, one twice."""
-    deltas = changes.column_deltas(derived.user_feed(spark, sf_dir), KEYS)
+    path = new_folder(spark, "deltas")
+    changes.column_deltas(derived.user_feed(spark, sf_dir), KEYS).write.parquet(path)
+    # Stored, as every fold reads them: else one task sorts the feed of its keys once for each part and kind of change.
+    deltas = spark.read.parquet(path)
     part = F.pmod(F.xxhash64("user_id", "last_commit_version"), F.lit(3))
     folds = [changes.fold_columns(deltas.where(part == k), KEYS) for k in (2, 0, 1, 0)]
     folded = changes.fold_columns(changes.union_changes(folds), KEYS)

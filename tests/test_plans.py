@@ -89,3 +89,8 @@ def test_a_step_joins_twice(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("SortMergeJoin") == 2
     assert exchanges(stepped) <= 3
+
+
+def test_partial_replication_folds_stored_changes(spark, sf_dir):
+    plan = plan_of(QUERIES["partial_replication"](spark, sf_dir))
+    assert "column_versions" in plan and "Window" not in plan and "events.parquet" not in plan
